@@ -31,9 +31,10 @@ def _utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _raw(spark: SparkSession, sf: str, *tables: str) -> dict[str, DataFrame]:
+    """The named source tables and those they refer to; all when none is named."""
     _utc(spark)
-    return fixtures.sources(spark, sf)
+    return fixtures.sources(spark, sf, cleaning.with_parents(tables or fixtures.SOURCE_TABLES))
 
 
 def _view(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -154,7 +155,7 @@ def _findings_of(found: DataFrame, rule) -> DataFrame:
 
 def findings_of_shipments(rule: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        judged = cleaning.judge_all(_raw(spark, sf), {"shipments"})["shipments"]
+        judged = cleaning.judge_all(_raw(spark, sf, "shipments"))["shipments"]
         return _findings_of(v.findings(judged, CONTRACTS["shipments"]), F.col("rule") == rule)
 
     return query
@@ -164,9 +165,9 @@ def referenced(table: str) -> Query:
     """Rows of a table left after the reference checks, before business rules and imputation."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        raw = _raw(spark, sf)
+        raw = _raw(spark, sf, table)
         contract = CONTRACTS[table]
-        judged = cleaning.judge_all(raw, {ref.parent for ref in contract.references})
+        judged = cleaning.judge_all(raw, [ref.parent for ref in contract.references])
         keys = {t: v.closed_keys(df, CONTRACTS[t]) for t, df in judged.items()}
         checked = v.check_references(v.judge(raw[table], contract), contract, keys)
         return v.survivors(checked.filter(F.col("_broken_ref").isNull()))
@@ -175,11 +176,11 @@ def referenced(table: str) -> Query:
 
 
 def silver_table(table: str) -> Query:
-    return lambda spark, sf: cleaning.silver(_raw(spark, sf), table)[table]
+    return lambda spark, sf: _silver(spark, sf, table)[table]
 
 
 def imputed_flags(spark: SparkSession, sf: str) -> DataFrame:
-    silver = cleaning.silver(_raw(spark, sf), "drivers", "shipments", "routes")
+    silver = _silver(spark, sf, "drivers", "shipments", "routes")
     parts = [
         df.select(
             F.lit(table).alias("table_name"),
@@ -216,14 +217,14 @@ def free_text_masked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    silver = cleaning.silver(_raw(spark, sf), "drivers", "shipments", "routes", "ratings")
+    silver = _silver(spark, sf, "drivers", "shipments", "routes", "ratings")
     return reduce(DataFrame.unionByName, [reports.null_profile(df, t) for t, df in silver.items()])
 
 
 # --- model ----------------------------------------------------------------------------------------
 
 def _silver(spark: SparkSession, sf: str, *tables: str) -> dict[str, DataFrame]:
-    return cleaning.silver(_raw(spark, sf), *tables)
+    return cleaning.silver(_raw(spark, sf, *tables), *tables)
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,7 +291,7 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_results_raw(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _raw(spark, sf)
+    raw = _raw(spark, sf, "shipments")
     return gate.dq_results(raw["shipments"], cleaning.silver(raw, "drivers")["drivers"])
 
 
@@ -328,19 +329,18 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The tables each analyst query names.
-VIEWED = {
-    "sql_kpi_latest": ("kpi_day",),
-    "sql_zone_rank": ("fact_shipment", "dim_zone"),
-    "sql_penalty_rollup": ("fact_shipment", "dim_shipper"),
-    "sql_kpi_moving": ("kpi_day",),
-    "sql_driver_worst": ("fact_driver_day", "dim_driver"),
+VIEWED: dict[str, dict[str, Query]] = {
+    "sql_kpi_latest": {"kpi_day": from_fact(aggregates.kpi_day)},
+    "sql_zone_rank": {"fact_shipment": _fact, "dim_zone": dim_zone},
+    "sql_penalty_rollup": {"fact_shipment": _fact, "dim_shipper": dim_shipper},
+    "sql_kpi_moving": {"kpi_day": from_fact(aggregates.kpi_day)},
+    "sql_driver_worst": {"fact_driver_day": fact_driver_day, "dim_driver": dim_driver},
 }
 
 
 def analyst(name: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        tables = model.gold(_silver(spark, sf), AS_OF, fixtures.CITY_NAMES)
-        views.publish({t: tables[t] for t in VIEWED[name]})
+        views.publish({table: build(spark, sf) for table, build in VIEWED[name].items()})
         return views.ask(spark, name)
 
     return query

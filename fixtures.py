@@ -6,6 +6,8 @@ base tables as ``{placeholders}``; the same text serves both engines.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
@@ -143,16 +145,18 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def source(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """One fixture view as a DataFrame."""
-    text = VIEWS[view]
-    used = {t: base_table(spark, sf_dir, t) for t in BASE_TABLES if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+def sources(spark: SparkSession, sf_dir: str, views: Iterable[str] = SOURCE_TABLES) -> dict[str, DataFrame]:
+    """Fixture views as DataFrames; each base table is opened once."""
+    used = {t for t in BASE_TABLES for view in views if "{" + t + "}" in VIEWS[view]}
+    opened = {t: base_table(spark, sf_dir, t) for t in used}
+    return {
+        view: spark.sql(VIEWS[view], **{t: df for t, df in opened.items() if "{" + t + "}" in VIEWS[view]})
+        for view in views
+    }
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven source tables."""
-    return {view: source(spark, sf_dir, view) for view in SOURCE_TABLES}
+def source(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    return sources(spark, sf_dir, [view])[view]
 
 
 def view_sql(view: str) -> str:

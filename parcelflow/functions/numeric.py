@@ -7,8 +7,6 @@ therefore summed as decimals and turned back into doubles at the end.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 EXACT = "decimal(28,9)"
@@ -17,27 +15,25 @@ EXACT = "decimal(28,9)"
 def half_up(value: Column, digits: int) -> Column:
     """Round half up, taking values within 1e-9 of a half as halves."""
     scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5 + 1e-9)) / F.lit(scale)
+    return F.floor(value * scale + (0.5 + 1e-9)) / scale
 
 
-def exact_sum(value: Column | str) -> Column:
+def exact_sum(value: str) -> Column:
     """Order-independent sum of a double column, as double."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.sum(value.cast(EXACT)).cast("double")
+    return F.expr(f"CAST(sum(CAST({value} AS {EXACT})) AS DOUBLE)")
 
 
-def exact_mean(value: Column | str) -> Column:
+def exact_mean(value: str) -> Column:
     """Order-independent mean of the non-null values of a double column."""
-    value = F.col(value) if isinstance(value, str) else value
     # try_divide: no values at all give null, not an error
-    return F.try_divide(exact_sum(value), F.count(value))
+    return F.expr(f"try_divide(CAST(sum(CAST({value} AS {EXACT})) AS DOUBLE), count({value}))")
 
 
-def share(condition: Column) -> Column:
-    """Fraction of rows for which the condition is true; unknown counts as false."""
-    return F.avg(F.when(condition, 1.0).otherwise(0.0))
+def share(condition: str) -> Column:
+    """Fraction of rows for which the SQL condition is true; unknown counts as false."""
+    return F.expr(f"avg(CASE WHEN {condition} THEN 1 ELSE 0 END)")
 
 
 def weighted_score(weights: dict[str, float], digits: int) -> Column:
-    terms = [F.col(name) * F.lit(weight) for name, weight in weights.items()]
-    return half_up(reduce(lambda a, b: a + b, terms), digits)
+    terms = " + ".join(f"{name} * {weight!r}D" for name, weight in weights.items())
+    return half_up(F.expr(terms), digits)

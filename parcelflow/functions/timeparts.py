@@ -5,25 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def time_of_day(col: Column | str) -> Column:
-    """``HH:mm:ss`` found in the value, else null.
+def time_of_day_sql(column: str) -> str:
+    """SQL: ``HH:mm:ss`` found in the value, else null.
 
     Takes a time as text, as a TIME value or as a timestamp carrying a dummy date.
     """
-    col = F.col(col) if isinstance(col, str) else col
-    return F.nullif(F.regexp_extract(col.cast("string"), r"(\d{2}:\d{2}:\d{2})", 1), F.lit(""))
+    return f"nullif(regexp_extract(CAST({column} AS STRING), '([0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})', 1), '')"
 
 
-def combine_ts(date: Column | str, time: Column | str) -> Column:
+def combine_ts(date: str, time: str) -> Column:
     """Instant of a date and a time of day; null when either is missing or is not a time."""
-    date = F.col(date) if isinstance(date, str) else date
-    return F.concat(date.cast("date").cast("string"), F.lit(" "), time_of_day(time)).try_cast("timestamp")
+    day = f"CAST(CAST({date} AS DATE) AS STRING)"
+    return F.expr(f"try_cast(concat({day}, ' ', {time_of_day_sql(time)}) AS TIMESTAMP)")
 
 
-def end_of_day(date: Column | str) -> Column:
+def end_of_day(date: str) -> Column:
     """23:59:59 of the date; null stays null."""
-    date = F.col(date) if isinstance(date, str) else date
-    return date.cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    return F.expr(f"CAST({date} AS TIMESTAMP) + INTERVAL '23:59:59' HOUR TO SECOND")
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
@@ -34,6 +32,6 @@ def hours_between(start: Column | str, end: Column | str) -> Column:
     return seconds_between(start, end) / 3600.0
 
 
-def year_month(date: Column | str, prefix: str) -> list[Column]:
+def year_month(date: str, prefix: str) -> list[Column]:
     """The two layout columns of a large table."""
     return [F.year(date).alias(f"{prefix}_year"), F.month(date).alias(f"{prefix}_month")]

@@ -14,7 +14,7 @@ def _shipments() -> Column:
 
 
 def _success_rate() -> Column:
-    return share(F.col("final_status") == DELIVERED).alias("success_rate")
+    return share(f"final_status = '{DELIVERED}'").alias("success_rate")
 
 
 def _sla_rate() -> Column:
@@ -25,7 +25,7 @@ def _sla_rate() -> Column:
 def _mean_hours() -> Column:
     """Mean delivery time, from whole seconds so that the order of summing does not matter."""
     seconds = seconds_between("received_ts", "delivery_ts")
-    return F.try_divide(F.sum(seconds), F.count(seconds) * F.lit(3600.0)).alias("mean_delivery_hours")
+    return F.try_divide(F.sum(seconds), F.count(seconds) * 3600.0).alias("mean_delivery_hours")
 
 
 def _penalty() -> Column:

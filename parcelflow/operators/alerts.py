@@ -16,7 +16,7 @@ def zone_day_failure(fact: DataFrame) -> DataFrame:
     """Failure rate per zone and reception day, with the weekday (1 = Sunday)."""
     return (
         fact.groupBy("zone_id", F.col("received_date").alias("day"))
-        .agg(share(F.col("final_status") != DELIVERED).alias("failure_rate"))
+        .agg(share(f"final_status <> '{DELIVERED}'").alias("failure_rate"))
         .withColumn("weekday", F.dayofweek("day"))
     )
 
@@ -35,5 +35,5 @@ def fact_zone_alert(fact: DataFrame) -> DataFrame:
     return (
         zone_baseline(zone_day_failure(fact))
         .filter(F.col("failure_rate") > F.col("baseline_rate") * ALERT_FACTOR)
-        .select("*", *year_month(F.col("day"), "day"))
+        .select("*", *year_month("day", "day"))
     )

@@ -27,6 +27,6 @@ def fact_route(routes: DataFrame) -> DataFrame:
             _ratio("stops_done", "stops_planned").alias("stop_efficiency"),
             (F.col("km") / F.col("worked_hours")).alias("mean_speed_kmh"),
             (_ratio("deviation_km", "km") * 100).alias("deviation_pct"),
-            *year_month(F.col("route_date"), "route"),
+            *year_month("route_date", "route"),
         )
     )

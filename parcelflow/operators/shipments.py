@@ -60,5 +60,5 @@ def fact_shipment(shipments: DataFrame, shippers: DataFrame) -> DataFrame:
         "delay_hours",
         delay_class("final_status", "delay_hours").alias("delay_class"),
         penalty.alias("estimated_penalty"),
-        *year_month(F.col("received_date"), "received"),
+        *year_month("received_date", "received"),
     )

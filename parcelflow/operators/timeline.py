@@ -92,5 +92,5 @@ def timeline(
 def fact_shipment_event(fact: DataFrame, incidents: DataFrame) -> DataFrame:
     events = shipment_events(fact).withColumn("_n", F.lit(1).cast("bigint")).unionByName(incident_counts(incidents, fact))
     return timeline(events, "shipment_id", "event_ts", "event", "_n").select(
-        "*", hours_between("previous_ts", "event_ts").alias("hours_since_previous"), *year_month(F.col("event_ts"), "event")
+        "*", hours_between("previous_ts", "event_ts").alias("hours_since_previous"), *year_month("event_ts", "event")
     )

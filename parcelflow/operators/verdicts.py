@@ -17,11 +17,11 @@ with very many copies costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelflow.functions.joins import lookup
 from parcelflow.functions.rows import repeat_rows
-from parcelflow.functions.timeparts import time_of_day
+from parcelflow.functions.timeparts import time_of_day_sql
 from parcelflow.model import INGEST_COLUMNS, Contract
 
 VERDICT_COLUMNS = ["_copies", "_missing", "_invalid", "_survives", "_broken_ref", "_broken_rules"]
@@ -46,31 +46,28 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     columns, bad = [], []
     for name, kind in wanted.items():
         if name not in have:
-            columns.append(F.lit(None).cast("string" if kind == "time" else kind).alias(name))
+            columns.append(f"CAST(NULL AS {'string' if kind == 'time' else kind}) AS {name}")
         elif kind == "time":
-            columns.append(time_of_day(name).alias(name))
+            columns.append(f"{time_of_day_sql(name)} AS {name}")
+        elif have[name] == kind:
+            columns.append(name)
         elif _always_converts(have[name], kind):
-            columns.append(F.col(name).cast(kind).alias(name))
+            columns.append(f"CAST({name} AS {kind}) AS {name}")
         else:
-            value = F.col(name).try_cast(kind)
-            columns.append(value.alias(name))
-            bad.append(F.when(F.col(name).isNotNull() & value.isNull(), F.lit(name)))
-    failed = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
-    return raw.select(*columns, failed.alias("_bad"))
+            columns.append(f"try_cast({name} AS {kind}) AS {name}")
+            bad.append(f"CASE WHEN {name} IS NOT NULL AND try_cast({name} AS {kind}) IS NULL THEN '{name}' END")
+    failed = f"array_compact(array({', '.join(bad)}))" if bad else "CAST(array() AS array<string>)"
+    return raw.selectExpr(*columns, f"{failed} AS _bad")
 
 
-def lacks_required(contract: Contract) -> Column:
-    """A required value is absent; one that did not convert is invalid, not absent."""
-    condition = F.lit(False)
-    for name in contract.required:
-        condition = condition | (F.col(name).isNull() & ~F.array_contains("_bad", name))
-    return condition
+def lacks_required(contract: Contract) -> str:
+    """SQL: a required value is absent; one that did not convert is invalid, not absent."""
+    return " OR ".join(f"({c} IS NULL AND NOT array_contains(_bad, '{c}'))" for c in contract.required)
 
 
-def newest_first(newest_by: str, columns: list[str]) -> Column:
-    """Sort value: newest instant first (unknown last), then all columns ascending, nulls first."""
-    age = F.coalesce(-F.unix_micros(newest_by), F.lit(2**63 - 1))
-    return F.struct(age.alias("_age"), *[F.col(c) for c in columns])
+def newest_first(newest_by: str, columns: list[str]) -> str:
+    """SQL sort value: newest instant first (unknown last), then all columns ascending, nulls first."""
+    return f"struct(coalesce(-unix_micros({newest_by}), {2**63 - 1}) AS _age, {', '.join(columns)})"
 
 
 def judge(raw: DataFrame, contract: Contract) -> DataFrame:
@@ -78,17 +75,15 @@ def judge(raw: DataFrame, contract: Contract) -> DataFrame:
     rows = typed(raw, contract)
     payload = [c for c in rows.columns if c not in (contract.key, "_bad")]
     missing = lacks_required(contract)
-    invalid = F.size("_bad") > 0
+    candidate = f"CASE WHEN NOT ({missing}) AND size(_bad) = 0 THEN {newest_first(contract.newest_by, payload)} END"
     grouped = rows.groupBy(contract.key).agg(
-        F.count(F.lit(1)).alias("_copies"),
-        F.count_if(missing).alias("_missing"),
-        F.count_if(invalid).alias("_invalid"),
-        F.min(F.when(~missing & ~invalid, newest_first(contract.newest_by, payload))).alias("_row"),
+        F.expr("count(1) AS _copies"),
+        F.expr(f"count_if({missing}) AS _missing"),
+        F.expr("count_if(size(_bad) > 0) AS _invalid"),
+        F.expr(f"min({candidate}) AS _row"),
     )
-    return grouped.select(
-        contract.key,
-        *[F.col(f"_row.{c}").alias(c) for c in payload],
-        "_copies", "_missing", "_invalid", F.col("_row").isNotNull().alias("_survives"),
+    return grouped.selectExpr(
+        contract.key, *[f"_row.{c}" for c in payload], "_copies", "_missing", "_invalid", "_row IS NOT NULL AS _survives"
     )
 
 
@@ -99,32 +94,30 @@ def check_references(verdicts: DataFrame, contract: Contract, parents: dict[str,
     under its own references, so that removals cascade.
     """
     found = verdicts
-    hits = []
+    steps = []
     for ref in contract.references:
         hit = f"_has_{ref.column}"
         parent = parents[ref.parent]
-        keys = parent.select(F.col(parent.columns[0]).alias(ref.column), F.lit(True).alias(hit))
+        keys = parent.selectExpr(f"{parent.columns[0]} AS {ref.column}", f"true AS {hit}")
         found = lookup(found, keys, ref.column, spread_by=contract.key)
-        hits.append(F.when(F.col(hit).isNull(), F.lit(f"FK_INVALID_{ref.column}")))
-    first = F.coalesce(*hits) if hits else F.lit(None).cast("string")
-    return found.select(*verdicts.columns, F.when(F.col("_survives"), first).alias("_broken_ref"))
+        steps.append(f"WHEN {hit} IS NULL THEN 'FK_INVALID_{ref.column}'")
+    broken = f"CASE WHEN NOT _survives THEN NULL {' '.join(steps)} END" if steps else "CAST(NULL AS STRING)"
+    return found.selectExpr(*verdicts.columns, f"{broken} AS _broken_ref")
 
 
 def check_rules(verdicts: DataFrame, contract: Contract) -> DataFrame:
     """Add ``_broken_rules``; the rules look only at rows that passed all earlier checks."""
-    names = [F.when(F.expr(rule.breaks_when), F.lit(rule.name)) for rule in contract.rules]
-    broken = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    passed = F.col("_survives") & F.col("_broken_ref").isNull()
-    return verdicts.withColumn("_broken_rules", F.when(passed, broken).otherwise(F.array().cast("array<string>")))
+    passed = "_survives AND _broken_ref IS NULL"
+    names = ", ".join(f"CASE WHEN {passed} AND {r.breaks_when} THEN '{r.name}' END" for r in contract.rules)
+    return verdicts.selectExpr("*", f"array_compact(CAST(array({names}) AS array<string>)) AS _broken_rules")
 
 
 def closed_keys(verdicts: DataFrame, contract: Contract) -> DataFrame:
     """Keys that may be referenced: references hold, business rules not yet applied."""
-    return verdicts.filter(F.col("_survives") & F.col("_broken_ref").isNull()).select(contract.key)
+    return verdicts.filter("_survives AND _broken_ref IS NULL").select(contract.key)
 
 
-def accepted() -> Column:
-    return F.col("_survives") & F.col("_broken_ref").isNull() & (F.size("_broken_rules") == 0)
+ACCEPTED = "(_survives AND _broken_ref IS NULL AND size(_broken_rules) = 0)"
 
 
 def survivors(verdicts: DataFrame) -> DataFrame:
@@ -139,25 +132,22 @@ def findings(verdicts: DataFrame, contract: Contract) -> DataFrame:
     is two findings (and one rejection).
     """
 
-    def found(rule: Column, times: Column) -> Column:
-        return F.struct(rule.alias("rule"), times.cast("bigint").alias("times"))
-
-    key = F.col(contract.key)
-    counted = [
-        found(F.lit("REQUIRED_NULL"), F.col("_missing")),
-        found(F.lit("TYPE_INVALID"), F.col("_invalid")),
-        found(F.lit("DUPLICATE_KEY"), F.when(key.isNotNull() & (F.col("_copies") > 1), F.col("_copies"))),
-        found(F.col("_broken_ref"), F.when(F.col("_broken_ref").isNotNull(), 1)),
-    ]
-    broken = F.transform("_broken_rules", lambda name: found(name, F.lit(1)))
     spotless = (
-        (F.col("_copies") == 1) & (F.col("_missing") == 0) & (F.col("_invalid") == 0)
-        & F.col("_broken_ref").isNull() & (F.size("_broken_rules") == 0)
+        "_copies = 1 AND _missing = 0 AND _invalid = 0 AND _broken_ref IS NULL AND size(_broken_rules) = 0"
     )
     per_key = (
-        verdicts.filter(~spotless)
-        .select(key.cast("string").alias("record_key"), F.explode(F.concat(F.array(*counted), broken)).alias("f"))
-        .select(F.lit(contract.table).alias("table_name"), "record_key", "f.rule", "f.times")
+        verdicts.filter(f"NOT ({spotless})")
+        .selectExpr(
+            f"CAST({contract.key} AS STRING) AS record_key",
+            f"""inline(concat(
+                array(struct('REQUIRED_NULL' AS rule, _missing AS times),
+                      struct('TYPE_INVALID' AS rule, _invalid AS times),
+                      struct('DUPLICATE_KEY' AS rule,
+                             CASE WHEN {contract.key} IS NOT NULL AND _copies > 1 THEN _copies END AS times),
+                      struct(_broken_ref AS rule, CASE WHEN _broken_ref IS NOT NULL THEN 1L END AS times)),
+                transform(_broken_rules, name -> struct(name AS rule, 1L AS times))))""",
+        )
+        .select(F.lit(contract.table).alias("table_name"), "record_key", "rule", "times")
     )
     return repeat_rows(per_key, "times", "ordinal", ["record_key", "rule"])
 

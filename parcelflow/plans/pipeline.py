@@ -140,7 +140,7 @@ def build_silver(run: Run) -> dict[str, DataFrame]:
     keys: dict[str, DataFrame] = {}
     for table, contract in CONTRACTS.items():
         raw = layers.scan_layer(run.spark, run.path("bronze", table))
-        verdict = cleaning.judge_table(raw, contract, keys).withColumn("accepted", verdicts.accepted())
+        verdict = cleaning.judge_table(raw, contract, keys).withColumn("accepted", F.expr(verdicts.ACCEPTED))
         path = run.path("judged", table)
         # Rejected keys lie beside the accepted ones, so the rows are written only once.
         verdict.write.mode("overwrite").partitionBy("accepted").parquet(path)

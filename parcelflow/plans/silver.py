@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 
 from parcelflow.model import CONTRACTS, Contract
 from parcelflow.operators import cleanse, verdicts as v
@@ -14,29 +16,34 @@ def judge_table(raw: DataFrame, contract: Contract, parents: dict[str, DataFrame
     return cleanse.finish(judged, contract)
 
 
-def judge_all(raw: dict[str, DataFrame], only: set[str] | None = None) -> dict[str, DataFrame]:
-    """Verdicts of the given tables, parents first; ``only`` leaves out what is not asked for."""
-    needed = set(only or raw)
+def with_parents(tables: Iterable[str]) -> list[str]:
+    """The tables and all they refer to, parents first."""
+    needed = set(tables)
     for contract in reversed(CONTRACTS.values()):
         if contract.table in needed:
             needed |= {ref.parent for ref in contract.references}
+    return [t for t in CONTRACTS if t in needed]
+
+
+def judge_all(raw: dict[str, DataFrame], only: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """Verdicts of the given tables, parents first; ``only`` leaves out what is not asked for."""
     judged: dict[str, DataFrame] = {}
     keys: dict[str, DataFrame] = {}
-    for table, contract in CONTRACTS.items():
-        if table in needed:
-            judged[table] = judge_table(raw[table], contract, keys)
-            keys[table] = v.closed_keys(judged[table], contract)
+    for table in with_parents(raw if only is None else only):
+        contract = CONTRACTS[table]
+        judged[table] = judge_table(raw[table], contract, keys)
+        keys[table] = v.closed_keys(judged[table], contract)
     return judged
 
 
 def clean(judged: DataFrame, contract: Contract) -> DataFrame:
     """The cleaned table of a verdict table."""
-    return judged.filter(v.accepted()).select(*cleanse.clean_columns(judged, contract))
+    return judged.filter(v.ACCEPTED).select(*cleanse.clean_columns(judged, contract))
 
 
 def silver(raw: dict[str, DataFrame], *tables: str) -> dict[str, DataFrame]:
     """Cleaned tables (all, or those named)."""
-    names = set(tables or raw)
+    names = tables or tuple(raw)
     judged = judge_all(raw, names)
     return {t: clean(judged[t], CONTRACTS[t]) for t in judged if t in names}
 
