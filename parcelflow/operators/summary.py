@@ -96,7 +96,7 @@ def run_summary(
         F.concat(F.lit("gold="), F.col("gold_rows").cast("string")),
         F.concat(F.lit("rejected="), F.col("rejected_rows").cast("string")),
         F.concat(F.lit("quality_alerts="), F.col("quality_alerts").cast("string")),
-        F.concat(F.lit("seconds="), F.coalesce(F.format_string("%.3f", F.col("duration_seconds")), F.lit("unknown"))),
+        F.concat(F.lit("seconds="), F.expr("if(duration_seconds IS NULL, 'unknown', format_string('%.3f', duration_seconds))")),
     )
     return one_row.select(
         F.lit(batch_id).alias("batch_id"),

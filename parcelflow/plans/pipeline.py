@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
-from functools import reduce
+from functools import partial
 from time import monotonic
 
 from pyspark.errors import AnalysisException
@@ -20,6 +20,7 @@ from parcelflow.operators import audit, gate, summary, verdicts
 from parcelflow.operators.cleanse import clean_columns
 from parcelflow.operators.reports import quality_report
 from parcelflow.plans import gold as model, silver as cleaning
+from parcelflow.plans.together import together
 from parcelflow.sources import ingest, layers
 
 MESSAGE_LIMIT = 4_000
@@ -55,10 +56,14 @@ def silver_path(run: Run, table: str) -> str:
     return f"{run.path('judged', table)}/accepted=true"
 
 
+def accepted_rows(judged: DataFrame, table: str) -> DataFrame:
+    """Cleaned rows of a written verdict table; reads its accepted folder only."""
+    return judged.filter("CAST(accepted AS BOOLEAN)").select(*clean_columns(judged, CONTRACTS[table]))
+
+
 def read_silver(run: Run) -> dict[str, DataFrame]:
     """Cleaned tables of the last run."""
-    judged = {table: layers.read_table(run.spark, run.path("judged", table)) for table in CONTRACTS}
-    return {t: df.filter("CAST(accepted AS BOOLEAN)").select(*clean_columns(df, CONTRACTS[t])) for t, df in judged.items()}
+    return {t: accepted_rows(layers.read_table(run.spark, run.path("judged", t)), t) for t in CONTRACTS}
 
 
 def read_gold(run: Run) -> dict[str, DataFrame]:
@@ -87,37 +92,42 @@ def ingest_all(run: Run, sources: dict[str, DataFrame], full_reload: bool = Fals
     # one row per table
     lower = {r["table_name"]: r["watermark"] for r in control.collect()}
 
-    rows, copied, failure = [], {}, None
-    for table, source in sources.items():
+    failures: dict[str, Exception] = {}
+
+    def copy(table: str) -> dict[str, object]:
         start, begun = lower[table], monotonic()
-        upper = ingest.upper_watermark(source).first()["watermark_to"] or start
+        # fixed before the copy: what is written meanwhile belongs to the next batch
+        upper = ingest.upper_watermark(sources[table]).first()["watermark_to"] or start
         records = written = 0
-        status = "SUCCESS"
         try:
-            changed = ingest.extract(source, start, upper, full_reload=full_reload)
+            changed = ingest.extract(sources[table], start, upper, full_reload=full_reload)
             stamped = ingest.stamp(changed, run.batch_id, run.source_system, run.now())
             records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, run.now())
         except Exception as error:
-            status, failure = "FAILED", failure or error
-        copied[table] = records
-        rows.append(
-            ingest.log_row(
-                run.spark, batch_id=run.batch_id, table_name=table, watermark_from=start, watermark_to=upper,
-                records=records, bytes=written, seconds=round(monotonic() - begun, 3), status=status,
-                logged_at=run.now(),
-            )
-        )
-    written_log = layers.replace_batch(
-        reduce(DataFrame.unionByName, rows).coalesce(1), run.history("ingest_log"), run.batch_id
-    )
-    layers.replace_batch(ingest.advance(control, written_log), run.history("watermarks"), run.batch_id)
-    if failure is not None:
-        raise failure
-    return copied
-
-
-def audit_volumes(run: Run, tables: list[str], force_alert: bool = False) -> str:
-    """Store the batch's audit rows and alerts; raises VolumeAlert when there are alerts."""
+            failures[table] = error
+        return {
+            "batch_id": run.batch_id,
+            "table_name": table,
+            "watermark_from": start,
+            "watermark_to": upper,
+            "records": records,
+            "bytes": written,
+            "seconds": round(monotonic() - begun, 3),
+            "status": "FAILED" if table in failures else "SUCCESS",
+            "logged_at": run.now(),
+        }
+
+    rows = together({t: partial(copy, t) for t in tables})
+    new_log = ingest.log_rows(run.spark, list(rows.values())).coalesce(1)
+    new_log = layers.replace_batch(new_log, run.history("ingest_log"), run.batch_id)
+    layers.replace_batch(ingest.advance(control, new_log), run.history("watermarks"), run.batch_id)
+    for error in failures.values():
+        raise error
+    return {t: row["records"] for t, row in rows.items()}
+
+
+def audit_volumes(run: Run, tables: list[str], force_alert: bool = False) -> tuple[str, bool]:
+    """Store the batch's audit rows and alerts; returns the verdict line and whether to stop."""
     log = layers.read_batch(run.spark, run.history("ingest_log"), run.batch_id)
     batch = audit.audit_batch(log, run.batch_id)
     audit.require_complete(batch, tables)
@@ -129,36 +139,43 @@ def audit_volumes(run: Run, tables: list[str], force_alert: bool = False) -> str
         alerts = audit.volume_alerts(audit.audit_deviation(batch, audit.mean_before(history, run.batch_id)))
     alerts = layers.replace_batch(alerts, run.history("volume_alerts"), run.batch_id)
     verdict = audit.verdict_line(batch, alerts, run.batch_id).first()["verdict"]
-    if not alerts.isEmpty():
-        raise VolumeAlert(verdict)
-    return verdict
+    return verdict, not alerts.isEmpty()
 
 
 def build_silver(run: Run) -> dict[str, DataFrame]:
     """Judge every table once; cleaned rows, findings and report all come from the written verdicts."""
     judged: dict[str, DataFrame] = {}
     keys: dict[str, DataFrame] = {}
-    for table, contract in CONTRACTS.items():
+
+    def judge(table: str) -> DataFrame:
         raw = layers.scan_layer(run.spark, run.path("bronze", table))
-        verdict = cleaning.judge_table(raw, contract, keys).withColumn("accepted", F.expr(verdicts.ACCEPTED))
+        verdict = cleaning.judge_table(raw, CONTRACTS[table], keys).withColumn("accepted", F.expr(verdicts.ACCEPTED))
         path = run.path("judged", table)
         # Rejected keys lie beside the accepted ones, so the rows are written only once.
         verdict.write.mode("overwrite").partitionBy("accepted").parquet(path)
-        judged[table] = run.spark.read.schema(verdict.schema).parquet(path)
-        keys[table] = verdicts.closed_keys(judged[table], contract)
+        return run.spark.read.schema(verdict.schema).parquet(path)
+
+    for wave in cleaning.waves(CONTRACTS):
+        done = together({t: partial(judge, t) for t in wave})
+        judged |= done
+        keys |= {t: verdicts.closed_keys(df, CONTRACTS[t]) for t, df in done.items()}
     noted = F.lit(run.now()).cast("timestamp")
-    found = verdicts.quarantine(cleaning.all_findings(judged), run.batch_id)
-    layers.replace_batch(found.withColumn("noted_at", noted), run.history("quarantine"), run.batch_id)
+    found = verdicts.quarantine(cleaning.all_findings(judged), run.batch_id).withColumn("noted_at", noted)
     report = quality_report(judged).select(F.lit(run.batch_id).alias("batch_id"), "*", noted.alias("generated_at"))
-    layers.replace_batch(report, run.history("quality_report"), run.batch_id)
-    return {
-        table: df.filter("CAST(accepted AS BOOLEAN)").select(*clean_columns(df, CONTRACTS[table])) for table, df in judged.items()
-    }
+    together(
+        {
+            "quarantine": partial(layers.replace_batch, found, run.history("quarantine"), run.batch_id),
+            "report": partial(layers.replace_batch, report, run.history("quality_report"), run.batch_id),
+        }
+    )
+    return {t: accepted_rows(df, t) for t, df in judged.items()}
 
 
 def build_gold(run: Run, silver: dict[str, DataFrame], city_names: dict[str, str] = CITY_NAMES) -> dict[str, DataFrame]:
     def write(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {t: layers.overwrite(df, run.path("gold", t), model.PARTITIONS.get(t)) for t, df in tables.items()}
+        return together(
+            {t: partial(layers.overwrite, df, run.path("gold", t), model.PARTITIONS.get(t)) for t, df in tables.items()}
+        )
 
     base = write(model.base_tables(silver, run.as_of, city_names))
     return base | write(model.derived_tables(silver, base))
@@ -230,7 +247,9 @@ def run(
     """The whole run; returns the summary line."""
     settings.spark.conf.set("spark.sql.session.timeZone", "UTC")
     staged(settings, "ingest", lambda: ingest_all(settings, sources, full_reload))
-    staged(settings, "audit", lambda: audit_volumes(settings, list(sources), force_alert))
+    verdict, alerted = staged(settings, "audit", lambda: audit_volumes(settings, list(sources), force_alert))
+    if alerted:
+        raise VolumeAlert(verdict)
     silver = staged(settings, "silver", lambda: build_silver(settings))
     gold = staged(settings, "gold", lambda: build_gold(settings, silver, city_names))
     staged(settings, "gate", lambda: check_gold(settings, gold))

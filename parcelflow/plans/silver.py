@@ -25,6 +25,16 @@ def with_parents(tables: Iterable[str]) -> list[str]:
     return [t for t in CONTRACTS if t in needed]
 
 
+def waves(tables: Iterable[str]) -> list[list[str]]:
+    """The tables in groups, each of which refers to earlier groups only."""
+    left = with_parents(tables)
+    groups: list[list[str]] = []
+    while left:
+        groups.append([t for t in left if not {r.parent for r in CONTRACTS[t].references} & set(left)])
+        left = [t for t in left if t not in groups[-1]]
+    return groups
+
+
 def judge_all(raw: dict[str, DataFrame], only: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """Verdicts of the given tables, parents first; ``only`` leaves out what is not asked for."""
     judged: dict[str, DataFrame] = {}
@@ -38,7 +48,7 @@ def judge_all(raw: dict[str, DataFrame], only: Iterable[str] | None = None) -> d
 
 def clean(judged: DataFrame, contract: Contract) -> DataFrame:
     """The cleaned table of a verdict table."""
-    return judged.filter(v.ACCEPTED).select(*cleanse.clean_columns(judged, contract))
+    return judged.filter(f"{contract.key} IS NOT NULL AND {v.ACCEPTED}").select(*cleanse.clean_columns(judged, contract))
 
 
 def silver(raw: dict[str, DataFrame], *tables: str) -> dict[str, DataFrame]:

@@ -70,10 +70,10 @@ def written_bytes(spark: SparkSession, folder: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
 
 
-def log_row(spark: SparkSession, **values: object) -> DataFrame:
-    """One ingest-log row."""
+def log_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame:
+    """Ingest-log rows, one per table of a batch."""
     names = [part.split()[0] for part in LOG_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(values[n] for n in names)], LOG_SCHEMA)
+    return spark.createDataFrame([tuple(row[n] for n in names) for row in rows], LOG_SCHEMA)
 
 
 def succeeded(log: DataFrame) -> DataFrame:
