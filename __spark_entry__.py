@@ -169,7 +169,7 @@ def referenced(table: str) -> Query:
         contract = CONTRACTS[table]
         judged = cleaning.judge_all(raw, [ref.parent for ref in contract.references])
         keys = {t: v.closed_keys(df, CONTRACTS[t]) for t, df in judged.items()}
-        checked = v.check_references(v.judge(raw[table], contract), contract, keys)
+        checked = v.check_references(v.judge(raw[table], contract), contract, keys, raw[table])
         return v.survivors(checked.filter(F.col("_broken_ref").isNull()))
 
     return query

@@ -21,31 +21,38 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(text)
 
 
-def lookup(df: DataFrame, table: DataFrame, on: str, spread_by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup(
+    df: DataFrame,
+    table: DataFrame,
+    on: str,
+    spread_by: str,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Left join with a table that has at most one row per ``on``.
 
     For a table below Spark's own broadcast limit this is a plain join, which Spark
-    broadcasts. Beyond it the join shuffles: keys with more than ``hot_rows`` rows in ``df`` are cut into slices
-    by a hash of ``spread_by``, and only their rows of ``table`` are repeated per
-    slice. At most rows/hot_rows keys can be hot, which bounds what is broadcast
-    to mark them. Column order: those of ``df``, then those of ``table``.
+    broadcasts. Beyond it the join shuffles: keys with more than ``hot_rows`` rows
+    are cut into slices by a hash of ``spread_by``, and only their rows of ``table``
+    are repeated per slice. At most rows/hot_rows keys can be hot, which bounds what
+    is broadcast to mark them. Keys are counted on ``counted``, a table with at
+    least the rows of ``df`` that is cheap to read; ``df`` itself by default.
+    Column order: those of ``df``, then those of ``table``.
     """
     extra = [c for c in table.columns if c != on]
     if estimated_bytes(table) <= broadcast_limit(df):
         return df.join(table, on, "left").select(*df.columns, *extra)
 
     hot = F.broadcast(
-        df.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+        (df if counted is None else counted).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
         .filter((F.col("_n") > hot_rows) & F.col(on).isNotNull())
         .select(on, F.lit(True).alias("_hot"))
     )
-    slice_of = F.pmod(F.xxhash64(spread_by), F.lit(SLICES)).cast("int")
     # Null never matches: its rows are spread as well, they need no partner.
     left = df.join(hot, on, "left").withColumn(
-        "_slice", F.when(F.col("_hot") | F.col(on).isNull(), slice_of).otherwise(F.lit(0))
+        "_slice", F.expr(f"IF(_hot OR {on} IS NULL, CAST(pmod(xxhash64({spread_by}), {SLICES}) AS INT), 0)")
     )
     right = table.join(hot, on, "left").withColumn(
-        "_slice",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(F.lit(0)))),
+        "_slice", F.expr(f"explode(IF(_hot, sequence(0, {SLICES - 1}), array(0)))")
     )
     return left.join(right.drop("_hot"), [on, "_slice"], "left").select(*df.columns, *extra)

@@ -10,13 +10,17 @@ def time_of_day_sql(column: str) -> str:
 
     Takes a time as text, as a TIME value or as a timestamp carrying a dummy date.
     """
-    return f"nullif(regexp_extract(CAST({column} AS STRING), '([0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})', 1), '')"
+    return f"try_element_at(regexp_extract_all(CAST({column} AS STRING), '[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}', 0), 1)"
+
+
+def instant(date: str, time: str) -> Column:
+    """Instant of a DATE and a normalised time of day (SQL text each); null when either is missing or is no time."""
+    return F.expr(f"try_cast(concat(CAST({date} AS STRING), ' ', {time}) AS TIMESTAMP)")
 
 
 def combine_ts(date: str, time: str) -> Column:
-    """Instant of a date and a time of day; null when either is missing or is not a time."""
-    day = f"CAST(CAST({date} AS DATE) AS STRING)"
-    return F.expr(f"try_cast(concat({day}, ' ', {time_of_day_sql(time)}) AS TIMESTAMP)")
+    """As ``instant``, with the time in any shape ``time_of_day_sql`` takes."""
+    return instant(f"CAST({date} AS DATE)", time_of_day_sql(time))
 
 
 def end_of_day(date: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelflow.functions.timeparts import combine_ts, hours_between, year_month
+from parcelflow.functions.timeparts import hours_between, instant, year_month
 
 SHORTEST_HOURS = 0.1
 
@@ -16,7 +16,7 @@ def _ratio(over: str, under: str) -> Column:
 
 def fact_route(routes: DataFrame) -> DataFrame:
     """Known times give at least 0.1 hours; a missing time gives null hours and speed."""
-    hours = hours_between(combine_ts("route_date", "start_time"), combine_ts("route_date", "end_time"))
+    hours = hours_between(instant("route_date", "start_time"), instant("route_date", "end_time"))
     # greatest() skips nulls, so an unknown duration has to be kept apart from the floor
     floored = F.when(F.col("worked_hours").isNotNull(), F.greatest("worked_hours", F.lit(SHORTEST_HOURS)))
     return (

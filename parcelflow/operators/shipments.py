@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelflow.functions.joins import lookup
 from parcelflow.functions.lookups import translate
-from parcelflow.functions.timeparts import combine_ts, end_of_day, hours_between, year_month
+from parcelflow.functions.timeparts import end_of_day, hours_between, instant, year_month
 from parcelflow.model import DELIVERED, FAILURE_TEXTS
 
 # Upper bounds in hours of the delay classes, mildest first.
@@ -15,9 +15,9 @@ DELAY_CLASSES = {"On time": 0, "Light delay": 4, "Moderate delay": 24}
 
 def delivery_instant() -> Column:
     """Instant of the attempt that succeeded, the later one first; else the delivery date at 00:00."""
-    instant = F.when(F.col("attempt2_result") == DELIVERED, combine_ts("attempt2_date", "attempt2_time"))
-    instant = instant.when(F.col("attempt1_result") == DELIVERED, combine_ts("attempt1_date", "attempt1_time"))
-    return instant.otherwise(F.col("delivered_date").cast("timestamp"))
+    at = F.when(F.col("attempt2_result") == DELIVERED, instant("attempt2_date", "attempt2_time"))
+    at = at.when(F.col("attempt1_result") == DELIVERED, instant("attempt1_date", "attempt1_time"))
+    return at.otherwise(F.col("delivered_date").cast("timestamp"))
 
 
 def delay_class(status: str, delay_hours: str) -> Column:
@@ -32,7 +32,7 @@ def fact_shipment(shipments: DataFrame, shippers: DataFrame) -> DataFrame:
     terms = shippers.select("shipper_id", F.col("sla_hours").cast("double").alias("sla_hours"), "penalty_rate")
     instants = lookup(shipments, terms, "shipper_id", spread_by="shipment_id").withColumns(
         {
-            "received_ts": combine_ts("received_date", "received_time"),
+            "received_ts": instant("received_date", "received_time"),
             "delivery_ts": delivery_instant(),
             "due_ts": end_of_day("due_date"),
         }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelflow.functions.rows import repeat_rows
-from parcelflow.functions.timeparts import combine_ts, hours_between, year_month
+from parcelflow.functions.timeparts import hours_between, instant, year_month
 
 # An event with more copies than this is unfolded over several tasks.
 MANY_COPIES = 1_000_000
@@ -20,8 +20,8 @@ def shipment_events(fact: DataFrame) -> DataFrame:
     stages = F.array_compact(
         F.array(
             event("Reception", F.col("received_ts"), F.lit(True)),
-            event("Attempt 1", combine_ts("attempt1_date", "attempt1_time"), F.col("attempt1_date").isNotNull()),
-            event("Attempt 2", combine_ts("attempt2_date", "attempt2_time"), F.col("attempt2_date").isNotNull()),
+            event("Attempt 1", instant("attempt1_date", "attempt1_time"), F.col("attempt1_date").isNotNull()),
+            event("Attempt 2", instant("attempt2_date", "attempt2_time"), F.col("attempt2_date").isNotNull()),
             event("Delivery", F.col("delivery_ts"), F.col("delivery_ts").isNotNull()),
         )
     )

@@ -36,10 +36,11 @@ def _always_converts(source: str, kind: str) -> bool:
 
 
 def typed(raw: DataFrame, contract: Contract) -> DataFrame:
-    """The declared columns in their declared types, and ``_bad``: columns that did not convert.
+    """The declared columns in their declared types, with the checks of the row.
 
-    Undeclared columns do not pass; declared ones that the input lacks are null.
-    Ingest columns are kept where present.
+    ``_bad`` names the columns that did not convert, ``_lacks`` tells whether a
+    required value is absent. Undeclared columns do not pass; declared ones that
+    the input lacks are null. Ingest columns are kept where present.
     """
     have = dict(raw.dtypes)
     wanted = contract.types | {c: t for c, t in INGEST_COLUMNS.items() if c in have}
@@ -57,12 +58,9 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
             columns.append(f"try_cast({name} AS {kind}) AS {name}")
             bad.append(f"CASE WHEN {name} IS NOT NULL AND try_cast({name} AS {kind}) IS NULL THEN '{name}' END")
     failed = f"array_compact(array({', '.join(bad)}))" if bad else "CAST(array() AS array<string>)"
-    return raw.selectExpr(*columns, f"{failed} AS _bad")
-
-
-def lacks_required(contract: Contract) -> str:
-    """SQL: a required value is absent; one that did not convert is invalid, not absent."""
-    return " OR ".join(f"({c} IS NULL AND NOT array_contains(_bad, '{c}'))" for c in contract.required)
+    # a value that does not convert is invalid, not absent
+    absent = " OR ".join(f"{c} IS NULL" if c in have else "true" for c in contract.required)
+    return raw.selectExpr(*columns, f"{failed} AS _bad", f"({absent}) AS _lacks")
 
 
 def newest_first(newest_by: str, columns: list[str]) -> str:
@@ -73,25 +71,27 @@ def newest_first(newest_by: str, columns: list[str]) -> str:
 def judge(raw: DataFrame, contract: Contract) -> DataFrame:
     """Verdict per key after the required-field, type and duplicate checks."""
     rows = typed(raw, contract)
-    payload = [c for c in rows.columns if c not in (contract.key, "_bad")]
-    missing = lacks_required(contract)
-    candidate = f"CASE WHEN NOT ({missing}) AND size(_bad) = 0 THEN {newest_first(contract.newest_by, payload)} END"
+    payload = [c for c in rows.columns if c not in (contract.key, "_bad", "_lacks")]
+    sound = f"CASE WHEN NOT _lacks AND size(_bad) = 0 THEN {newest_first(contract.newest_by, payload)} END"
     grouped = rows.groupBy(contract.key).agg(
         F.expr("count(1) AS _copies"),
-        F.expr(f"count_if({missing}) AS _missing"),
+        F.expr("count_if(_lacks) AS _missing"),
         F.expr("count_if(size(_bad) > 0) AS _invalid"),
-        F.expr(f"min({candidate}) AS _row"),
+        F.expr(f"min({sound}) AS _row"),
     )
     return grouped.selectExpr(
         contract.key, *[f"_row.{c}" for c in payload], "_copies", "_missing", "_invalid", "_row IS NOT NULL AS _survives"
     )
 
 
-def check_references(verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
+def check_references(
+    verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame], raw: DataFrame
+) -> DataFrame:
     """Add ``_broken_ref``: the first declared reference whose parent is absent.
 
     ``parents`` maps a table to its key column (one row per key), already closed
-    under its own references, so that removals cascade.
+    under its own references, so that removals cascade. Keys with very many rows
+    are found on the ``raw`` table, by a scan of the one column.
     """
     found = verdicts
     steps = []
@@ -99,7 +99,8 @@ def check_references(verdicts: DataFrame, contract: Contract, parents: dict[str,
         hit = f"_has_{ref.column}"
         parent = parents[ref.parent]
         keys = parent.selectExpr(f"{parent.columns[0]} AS {ref.column}", f"true AS {hit}")
-        found = lookup(found, keys, ref.column, spread_by=contract.key)
+        referring = raw.selectExpr(f"CAST({ref.column} AS STRING) AS {ref.column}") if ref.column in raw.columns else None
+        found = lookup(found, keys, ref.column, spread_by=contract.key, counted=referring)
         steps.append(f"WHEN {hit} IS NULL THEN 'FK_INVALID_{ref.column}'")
     broken = f"CASE WHEN NOT _survives THEN NULL {' '.join(steps)} END" if steps else "CAST(NULL AS STRING)"
     return found.selectExpr(*verdicts.columns, f"{broken} AS _broken_ref")

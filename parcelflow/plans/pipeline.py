@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelflow.model import CITY_NAMES, CONTRACTS
 from parcelflow.operators import audit, gate, summary, verdicts
-from parcelflow.operators.cleanse import clean_columns
+from parcelflow.operators.cleanse import clean_schema
 from parcelflow.operators.reports import quality_report
 from parcelflow.plans import gold as model, silver as cleaning
 from parcelflow.plans.together import together
@@ -56,19 +56,22 @@ def silver_path(run: Run, table: str) -> str:
     return f"{run.path('judged', table)}/accepted=true"
 
 
-def accepted_rows(judged: DataFrame, table: str) -> DataFrame:
-    """Cleaned rows of a written verdict table; reads its accepted folder only."""
-    return judged.filter("CAST(accepted AS BOOLEAN)").select(*clean_columns(judged, CONTRACTS[table]))
-
-
 def read_silver(run: Run) -> dict[str, DataFrame]:
-    """Cleaned tables of the last run."""
-    return {t: accepted_rows(layers.read_table(run.spark, run.path("judged", t)), t) for t in CONTRACTS}
+    """Cleaned tables of the last run: the accepted part of the verdicts, the only folder these scans open."""
+    return {
+        t: layers.read_table(run.spark, run.path("judged", t), f"{clean_schema(c)}, accepted boolean")
+        .filter("accepted")
+        .drop("accepted")
+        for t, c in CONTRACTS.items()
+    }
 
 
 def read_gold(run: Run) -> dict[str, DataFrame]:
     """Dimensions and facts of the last run."""
-    return {t: layers.read_table(run.spark, run.path("gold", t)) for t in model.DIMENSIONS + model.FACTS}
+    plans = model.gold(read_silver(run), run.as_of)
+    return {
+        t: layers.read_table(run.spark, run.path("gold", t), plans[t].schema) for t in model.DIMENSIONS + model.FACTS
+    }
 
 
 def read_log(run: Run) -> DataFrame | None:
@@ -89,17 +92,19 @@ def ingest_all(run: Run, sources: dict[str, DataFrame], full_reload: bool = Fals
     if log is not None:
         # A repeat of this batch starts where the batch started.
         control = ingest.advance(control, log.filter(F.col("batch_id") != run.batch_id))
-    # one row per table
-    lower = {r["table_name"]: r["watermark"] for r in control.collect()}
+    # One row per table; held here, because the log folder it comes from is written below.
+    rows = control.collect()
+    control = run.spark.createDataFrame(rows, ingest.CONTROL_SCHEMA)
+    lower = {r["table_name"]: r["watermark"] for r in rows}
 
     failures: dict[str, Exception] = {}
 
     def copy(table: str) -> dict[str, object]:
         start, begun = lower[table], monotonic()
-        # fixed before the copy: what is written meanwhile belongs to the next batch
-        upper = ingest.upper_watermark(sources[table]).first()["watermark_to"] or start
-        records = written = 0
+        upper, records, written = start, 0, 0
         try:
+            # fixed before the copy: what is written meanwhile belongs to the next batch
+            upper = ingest.upper_watermark(sources[table]).first()["watermark_to"] or start
             changed = ingest.extract(sources[table], start, upper, full_reload=full_reload)
             stamped = ingest.stamp(changed, run.batch_id, run.source_system, run.now())
             records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, run.now())
@@ -117,13 +122,13 @@ def ingest_all(run: Run, sources: dict[str, DataFrame], full_reload: bool = Fals
             "logged_at": run.now(),
         }
 
-    rows = together({t: partial(copy, t) for t in tables})
-    new_log = ingest.log_rows(run.spark, list(rows.values())).coalesce(1)
+    copied = together(run.spark, {t: partial(copy, t) for t in tables})
+    new_log = ingest.log_rows(run.spark, list(copied.values())).coalesce(1)
     new_log = layers.replace_batch(new_log, run.history("ingest_log"), run.batch_id)
     layers.replace_batch(ingest.advance(control, new_log), run.history("watermarks"), run.batch_id)
     for error in failures.values():
         raise error
-    return {t: row["records"] for t, row in rows.items()}
+    return {t: row["records"] for t, row in copied.items()}
 
 
 def audit_volumes(run: Run, tables: list[str], force_alert: bool = False) -> tuple[str, bool]:
@@ -153,28 +158,30 @@ def build_silver(run: Run) -> dict[str, DataFrame]:
         path = run.path("judged", table)
         # Rejected keys lie beside the accepted ones, so the rows are written only once.
         verdict.write.mode("overwrite").partitionBy("accepted").parquet(path)
-        return run.spark.read.schema(verdict.schema).parquet(path)
+        return layers.read_table(run.spark, path, verdict.schema)
 
     for wave in cleaning.waves(CONTRACTS):
-        done = together({t: partial(judge, t) for t in wave})
+        done = together(run.spark, {t: partial(judge, t) for t in wave})
         judged |= done
         keys |= {t: verdicts.closed_keys(df, CONTRACTS[t]) for t, df in done.items()}
     noted = F.lit(run.now()).cast("timestamp")
     found = verdicts.quarantine(cleaning.all_findings(judged), run.batch_id).withColumn("noted_at", noted)
     report = quality_report(judged).select(F.lit(run.batch_id).alias("batch_id"), "*", noted.alias("generated_at"))
     together(
+        run.spark,
         {
             "quarantine": partial(layers.replace_batch, found, run.history("quarantine"), run.batch_id),
             "report": partial(layers.replace_batch, report, run.history("quality_report"), run.batch_id),
-        }
+        },
     )
-    return {t: accepted_rows(df, t) for t, df in judged.items()}
+    return read_silver(run)
 
 
 def build_gold(run: Run, silver: dict[str, DataFrame], city_names: dict[str, str] = CITY_NAMES) -> dict[str, DataFrame]:
     def write(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return together(
-            {t: partial(layers.overwrite, df, run.path("gold", t), model.PARTITIONS.get(t)) for t, df in tables.items()}
+            run.spark,
+            {t: partial(layers.overwrite, df, run.path("gold", t), model.PARTITIONS.get(t)) for t, df in tables.items()},
         )
 
     base = write(model.base_tables(silver, run.as_of, city_names))

@@ -12,8 +12,8 @@ from parcelflow.operators import cleanse, verdicts as v
 
 def judge_table(raw: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
     """All checks of one table, its columns already imputed and masked."""
-    judged = v.check_rules(v.check_references(v.judge(raw, contract), contract, parents), contract)
-    return cleanse.finish(judged, contract)
+    referenced = v.check_references(v.judge(raw, contract), contract, parents, raw)
+    return cleanse.finish(v.check_rules(referenced, contract), contract)
 
 
 def with_parents(tables: Iterable[str]) -> list[str]:

@@ -7,12 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
 
-def together(jobs: dict[str, Callable[[], T]], width: int = 8) -> dict[str, T]:
+def together(spark: SparkSession, jobs: dict[str, Callable[[], T]], width: int = 8) -> dict[str, T]:
     """Results by name; waits for all, then raises the first failure in order, if any."""
     with ThreadPoolExecutor(width) as pool:
-        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
     return {name: future.result() for name, future in running.items()}

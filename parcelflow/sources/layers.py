@@ -12,6 +12,7 @@ from urllib.parse import quote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -30,8 +31,9 @@ def scan_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A written table; the schema is given, because a partitioned table without rows has no file to tell it."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -44,7 +46,7 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
         df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 def batch_folder(path: str, batch_id: str) -> str:

@@ -19,7 +19,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
 def read_typed_csv(spark: SparkSession, path: str, contract: Contract, multi_line: bool = False) -> DataFrame:
     """The contract's columns in its types, and ``_bad`` for values that do not convert."""
-    return typed(read_csv(spark, path, multi_line), contract)
+    return typed(read_csv(spark, path, multi_line), contract).drop("_lacks")
 
 
 def reconcile(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 import json
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from parcelflow.functions import joins
 from parcelflow.model import CONTRACTS, PII_REGISTER
 from parcelflow.operators import reports, verdicts as v
 from parcelflow.plans import gold, silver as cleaning
@@ -37,13 +39,18 @@ def shipment(i, **changes):
     return tuple((base | changes).values())
 
 
-SHIPMENT_TEXT_SCHEMA = ", ".join(
-    f"{c} {'string' if t in ('date', 'time') else t}" for c, t in CONTRACTS["shipments"].types.items()
-)
+ARROW = {
+    "string": pa.string(), "time": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_(),
+    "date": pa.date32(), "timestamp": pa.timestamp("us", "UTC"),
+}
 
 
-def schema(table):
-    return ", ".join(f"{c} {'string' if t == 'time' else t}" for c, t in CONTRACTS[table].types.items())
+def table_of(spark, name, rows_, dates_as_text=False):
+    """Hand-made rows of a source table as a local table, whose size Spark knows."""
+    kinds = {c: "string" if dates_as_text and t == "date" else t for c, t in CONTRACTS[name].types.items()}
+    columns = zip(*rows_) if rows_ else [[]] * len(kinds)
+    arrays = [pa.array(list(values), ARROW[kind]) for values, kind in zip(columns, kinds.values())]
+    return spark.createDataFrame(pa.table(arrays, names=list(kinds)))
 
 
 @pytest.fixture
@@ -53,8 +60,8 @@ def raw(spark):
             "zones": [zone(1)], "drivers": [driver(1), driver(2, "Z9")], "shippers": [shipper(1)],
             "routes": [], "ratings": [], "incidents": [],
         } | others
-        tables = {t: spark.createDataFrame(r, schema(t)) for t, r in data.items()}
-        return tables | {"shipments": spark.createDataFrame(shipments, SHIPMENT_TEXT_SCHEMA)}
+        tables = {t: table_of(spark, t, r) for t, r in data.items()}
+        return tables | {"shipments": table_of(spark, "shipments", shipments, dates_as_text=True)}
 
     return build
 
@@ -156,6 +163,20 @@ def test_missing_and_undeclared_columns(raw):
     assert kept.first().failure_code is None
 
 
+def test_sliced_references_give_the_same_findings(spark, raw, monkeypatch):
+    """With broadcasts off and every key hot, all references go through sliced joins."""
+    tables = raw([shipment(1), shipment(2, shipper_id="C404"), shipment(3, driver_id="D2"), shipment(4, zone_id=None)])
+    expected = found(tables)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(v, "lookup", lambda *a, **k: joins.lookup(*a, **k, hot_rows=0))
+    try:
+        assert found(tables) == expected
+        assert len(expected) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_no_clear_personal_text_leaves_the_cleaning(raw):
     silver = cleaning.silver(raw([shipment(1)]))
     hidden = {(s.table, s.column) for s in PII_REGISTER if s.treatment == "hash_and_drop"}

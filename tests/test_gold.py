@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.operators import alerts, dimensions, performance, routes, shipments, timeline
 from parcelflow.plans import silver as cleaning
-from test_cleaning import T0, driver, raw, schema, shipment, shipper, zone  # noqa: F401
+from test_cleaning import T0, driver, raw, shipment, shipper, table_of, zone  # noqa: F401
 
 
 @pytest.fixture
@@ -44,13 +44,14 @@ def test_instants_delay_and_penalty(fact):
 
 
 def test_a_missing_route_time_gives_no_speed(spark):
-    route = spark.createDataFrame(
+    route = table_of(
+        spark,
+        "routes",
         [
             ("T1", "D1", date(2024, 1, 1), "08:00:00", "10:00:00", 50.0, 10, 8, 5.0, 1.0, T0),
             ("T2", "D1", date(2024, 1, 1), "08:00:00", "07:00:00", 5.0, 0, 8, 5.0, 1.0, T0),
             ("T3", "D1", date(2024, 1, 1), "08:00:00", None, 0.0, 4, 8, 5.0, 1.0, T0),
         ],
-        schema("routes"),
     )
     got = routes.fact_route(route).select(
         "route_id", "worked_hours", "stop_efficiency", "mean_speed_kmh", "deviation_pct"
@@ -59,9 +60,7 @@ def test_a_missing_route_time_gives_no_speed(spark):
 
 
 def test_dimensions(spark):
-    zones = spark.createDataFrame(
-        [zone(1), ("Z2", "far", "XXX", "d", 0.0, 0.0, 5.0, "Outer", None, T0)], schema("zones")
-    )
+    zones = table_of(spark, "zones", [zone(1), ("Z2", "far", "XXX", "d", 0.0, 0.0, 5.0, "Outer", None, T0)])
     got = dimensions.dim_zone(zones).select("zone_id", "difficulty", "city_name")
     assert rows(got) == [("Z1", 3, "Bogota"), ("Z2", 5, None)]
     hired = spark.createDataFrame([(date(2020, 1, 31),), (date(2024, 3, 1),)], "h date")
@@ -71,7 +70,7 @@ def test_dimensions(spark):
 def test_days_without_routes_or_ratings_score_as_the_worst_case(fact, spark):
     days = performance.fact_driver_day(
         fact(shipment(1)),
-        routes.fact_route(spark.createDataFrame([], schema("routes"))),
+        routes.fact_route(table_of(spark, "routes", [])),
         spark.createDataFrame([], "shipment_id string, score int"),
         spark.createDataFrame([], "zone_id string, difficulty int"),
     ).first()

@@ -57,12 +57,15 @@ def test_register(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS registered_t")
 
 
-def test_scratch_folder_is_the_configured_one(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert layers.scratch_folder(spark, "x").startswith(f"{tmp_path}/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_folder_is_the_configured_one():
+    class Conf:
+        def get(self, name, default=None):
+            return "hdfs://shared/" if name == "spark.checkpoint.dir" else default
+
+    class Session:
+        conf = Conf()
+
+    assert layers.scratch_folder(Session(), "x").startswith("hdfs://shared/x-")
 
 
 def log(spark, *entries):

@@ -19,8 +19,8 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", list(entries.queries()))
-def test_query_equals_oracle(spark, duck, name):
-    assert compare.differences(entries.queries()[name](spark, SF), duck, ORACLES[name]) == ""
+def test_query_equals_oracle(as_deployed, duck, name):
+    assert compare.differences(entries.queries()[name](as_deployed, SF), duck, ORACLES[name]) == ""
 
 
 def test_entry(spark):

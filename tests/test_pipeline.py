@@ -10,7 +10,7 @@ from parcelflow.model import CONTRACTS
 from parcelflow.operators import gate
 from parcelflow.plans import pipeline
 from parcelflow.sources import layers
-from test_cleaning import driver, raw, shipment  # noqa: F401
+from test_cleaning import raw, shipment, table_of  # noqa: F401
 
 AS_OF = date(2024, 6, 15)
 
@@ -53,8 +53,8 @@ def test_run_is_repeatable_and_incremental(spark, tmp_path, sources):
     assert contents(run) == first
 
     # next day one shipment changed: only it is copied, and it replaces its older version
-    changed = spark.createDataFrame(
-        [shipment(1, package_type="Huge", updated_at=datetime(2024, 1, 20))], sources["shipments"].schema
+    changed = table_of(
+        spark, "shipments", [shipment(1, package_type="Huge", updated_at=datetime(2024, 1, 20))], dates_as_text=True
     )
     later = dict(sources, shipments=sources["shipments"].unionByName(changed))
     second = pipeline.Run(spark, str(tmp_path), "b2", AS_OF)

@@ -13,30 +13,30 @@ def plan(spark, name):
     return entries.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_the_ingest_range_reaches_the_scan(spark):
-    text = plan(spark, "incremental_extract")
+def test_the_ingest_range_reaches_the_scan(as_deployed):
+    text = plan(as_deployed, "incremental_extract")
     assert re.search(r"PushedFilters: \[IsNotNull\(ts\), GreaterThan\(ts,.*LessThanOrEqual\(ts,", text)
 
 
-def test_counting_events_reads_one_column(spark):
-    assert "ReadSchema: struct<ts:timestamp_ntz>" in plan(spark, "watermark_upper")
+def test_counting_events_reads_one_column(as_deployed):
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in plan(as_deployed, "watermark_upper")
 
 
 @pytest.mark.parametrize("name", ["fact_driver_day", "fact_shipment_event", "findings_by_rule", "dq_results"])
-def test_no_product_joins_and_no_python(spark, name):
-    text = plan(spark, name)
+def test_no_product_joins_and_no_python(as_deployed, name):
+    text = plan(as_deployed, name)
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
         assert unwanted not in text
 
 
-def test_cleaning_shuffles_shipments_once(spark):
+def test_cleaning_shuffles_shipments_once(as_deployed):
     """Duplicates are combined before the one shuffle; references are broadcast lookups."""
-    text = plan(spark, "silver_shipments")
+    text = plan(as_deployed, "silver_shipments")
     assert len(re.findall(r"Exchange hashpartitioning\(shipment_id", text)) == 1
     assert "partial_min" in text
 
 
-def test_timeline_adds_no_shuffle_of_the_shipments(spark):
-    text = plan(spark, "fact_shipment_event")
+def test_timeline_adds_no_shuffle_of_the_shipments(as_deployed):
+    text = plan(as_deployed, "fact_shipment_event")
     window = text[text.index("Window ["):]
     assert re.match(r"Window \[[^\n]*\n[^\n]*Sort [^\n]*\n[^\n]*Union", window)
