@@ -2,11 +2,10 @@ from datetime import date, datetime
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from parcelflow.operators import alerts, dimensions, performance, routes, shipments, timeline
 from parcelflow.plans import silver as cleaning
-from test_cleaning import T0, driver, raw, shipment, shipper, table_of, zone  # noqa: F401
+from test_cleaning import T0, raw, shipment, shipper, table_of, zone  # noqa: F401
 
 
 @pytest.fixture

@@ -6,7 +6,6 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from parcelflow.model import CONTRACTS
 from parcelflow.operators import gate
 from parcelflow.plans import pipeline
 from parcelflow.sources import layers
