@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# the modules beside this file, wherever it is loaded from
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import fixtures
 import oracles
 from parcelflow.functions.timeparts import combine_ts
