@@ -23,6 +23,12 @@ from parcelflow.operators import verdicts as v
 from parcelflow.plans import gold as model, pipeline, silver as cleaning, views
 from parcelflow.sources import ingest, layers, text
 
+try:
+    import corpus_pipeline
+    from parcelflow.llm import queries as corpus
+except ImportError:  # the corpus operators can be taken out of the library
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = date(2024, 6, 15)
@@ -424,8 +430,9 @@ def queries() -> dict[str, Query]:
         "run_counts": run_counts,
         "run_summary": run_summary,
         **{name: analyst(name) for name in views.QUERIES},
+        **(corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (corpus.oracle_sql() if corpus else {})

@@ -7,6 +7,7 @@ its own that a re-run replaces, also when it has become empty.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from urllib.parse import quote
 from uuid import uuid4
@@ -18,12 +19,14 @@ from pyspark.sql.types import StructType
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured (tests) it is a local one.
+    Only a session on this one machine may do without that setting; it then gets a local folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{tempfile.mkdtemp(prefix=f'{name}-')}/{name}"
 
 
 def scan_layer(spark: SparkSession, path: str) -> DataFrame:
