@@ -3,19 +3,59 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelflow.llm import bpe, packing, token_files
+from parcelflow.llm import bpe, line_dedup, packing, secret_scan, simhash, token_files
 from parcelflow.sources.layers import scratch_folder
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
+LINE_DEDUP = """
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+        FROM documents),
+    keyed AS (
+        SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines),
+    shared AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+    SELECT doc_id, count(*) AS n_lines, count(keeper) FILTER (keeper <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+    FROM keyed LEFT JOIN shared USING (key)
+    GROUP BY doc_id"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed("base").cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed("spans").alias("spans"),
+    )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that three or more documents share."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     coded = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
@@ -39,13 +79,21 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(spark, folder)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def queries() -> dict:
     return {
+        "op1_secret_scan": op1_secret_scan,
+        "op2_line_dedup": op2_line_dedup,
         "op3_bpe": op3_bpe,
         "op7_packing": op7_packing,
         "op9_token_files": op9_token_files,
+        "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": LINE_DEDUP}
