@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelflow.llm import bpe, line_dedup, packing, secret_scan, simhash, token_files
+from parcelflow.llm import bpe, line_dedup, packing, quality, secret_scan, simhash, token_files, toxicity
 from parcelflow.sources.layers import scratch_folder
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(column: str, n: int) -> Column:
+    """Remainder by which rows are held out of training."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(-1))
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document."""
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
@@ -67,11 +72,35 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    network = quality.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return quality.score(docs, network, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 1,024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learnt from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.transform("evidence", lambda e: e["doc_id"]).alias("evidence"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written as token ids and read back."""
     folder = scratch_folder(spark, "tokens")
@@ -89,7 +118,9 @@ def queries() -> dict:
         "op1_secret_scan": op1_secret_scan,
         "op2_line_dedup": op2_line_dedup,
         "op3_bpe": op3_bpe,
+        "op6_quality": op6_quality,
         "op7_packing": op7_packing,
+        "op8_toxicity": op8_toxicity,
         "op9_token_files": op9_token_files,
         "op10_simhash": op10_simhash,
     }
