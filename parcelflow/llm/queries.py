@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelflow.llm import bpe, line_dedup, packing, quality, secret_scan, simhash, token_files, toxicity
+from parcelflow.llm import bpe, cross_polytope, line_dedup, packing, quality, rp_forest, secret_scan, simhash, token_files, toxicity
 from parcelflow.sources.layers import scratch_folder
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -30,6 +30,23 @@ LINE_DEDUP = """
     GROUP BY doc_id"""
 
 
+CROSS_POLYTOPE = """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+               coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                        AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS able
+        FROM embeddings),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE a.able AND b.able AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+    reached AS (
+        SELECT vec_id AS node, vec_id AS other FROM vectors
+        UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a),
+    components AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+    SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+    FROM vectors JOIN components ON vec_id = node"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,6 +89,16 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate vectors with equal labels."""
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learnt from two thirds of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -118,6 +145,8 @@ def queries() -> dict:
         "op1_secret_scan": op1_secret_scan,
         "op2_line_dedup": op2_line_dedup,
         "op3_bpe": op3_bpe,
+        "op4_rp_forest": op4_rp_forest,
+        "op5_cross_polytope": op5_cross_polytope,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
         "op8_toxicity": op8_toxicity,
@@ -127,4 +156,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP}
+    return {"op2_line_dedup": LINE_DEDUP, "op5_cross_polytope": CROSS_POLYTOPE}
