@@ -198,7 +198,12 @@ def answers(asked: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = 20, min_docs: int = 3, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    min_chars: int = 20,
+    min_docs: int = 3,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Texts without the lines that at least ``min_docs`` documents hold, except in the largest doc_id.
 
@@ -206,10 +211,17 @@ def dedup_lines(
     input row. Lines are compared by their key: ASCII white space stripped at both ends, A-Z in lower
     case; keys shorter than ``min_chars`` code points always stay. A null or empty text is one empty line.
     Rows that share a doc_id each count as a document holding the line, and if theirs is the largest
-    doc_id all keep it; rows with a null doc_id rank below all others. An empty table gives no rows;
-    other columns of the input do not pass. doc_id is an integer column.
+    doc_id all keep it; rows with a null doc_id rank below all others. An empty table gives no rows.
+    doc_id is an integer column. The input's columns named in ``keep`` pass as ``kept_columns``, a struct; others do not.
     """
-    own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    inner = [f"_{i}" for i in range(len(keep or []))]
+    types = [docs.schema[c].dataType.simpleString() for c in keep or []]
+    whole = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *[F.col(c).alias(n) for c, n in zip(keep or [], inner)],
+    )
+    own = whole.select("doc_id", "text")
     counted = written(line_counts(own, min_chars), "line-counts")
     sums = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.count(F.when(F.col("n") >= min_docs, 1)).alias("keys")
@@ -223,8 +235,8 @@ def dedup_lines(
     index = build_index(repeated, shards)
     replies = answers(probes(own, min_chars, shards, hot_keys), index)
     per_doc = replies.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("drop").alias("_drop"))
-    asked = F.coalesce(own["doc_id"], F.lit(int(NO_DOCUMENT)))
-    met = own.join(per_doc.hint("shuffle_hash"), asked == per_doc["_doc"], "left").select("doc_id", "text", "_drop")
+    asked = F.coalesce(whole["doc_id"], F.lit(int(NO_DOCUMENT)))
+    met = whole.join(per_doc.hint("shuffle_hash"), asked == per_doc["_doc"], "left").select("doc_id", "text", "_drop", *inner)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_low = np.sort(hot_keys[0])
@@ -247,8 +259,13 @@ def dedup_lines(
             bounds = (before - gone).astype(np.int32)
             kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), left), "\n")
             yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array(found.counts), pa.array(np.diff(gone)), kept],
-                ["doc_id", "n_lines", "n_dropped", "kept"],
+                [block.column(0), pa.array(found.counts), pa.array(np.diff(gone)), kept, *block.columns[3:]],
+                ["doc_id", "n_lines", "n_dropped", "kept", *inner],
             )
 
-    return map_batches(met, work, "doc_id bigint, n_lines bigint, n_dropped bigint, kept string")
+    passed = "".join(f", {n} {t}" for n, t in zip(inner, types))
+    result = map_batches(met, work, "doc_id bigint, n_lines bigint, n_dropped bigint, kept string" + passed)
+    if not keep:
+        return result
+    columns = F.struct(*[F.col(n).alias(c) for n, c in zip(inner, keep)])
+    return result.select("doc_id", "n_lines", "n_dropped", "kept", columns.alias("kept_columns"))

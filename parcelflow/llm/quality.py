@@ -198,11 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
 
 def score(docs: DataFrame, model: Network | float, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of the input (all by default) with score (0 to 1) and attention, one row per input row.
+    """score (0 to 1), attention, and the input's columns ``keep`` (all by default) as a struct ``row``, one row per input row.
 
     ``attention`` has the weight of each passage of the text. A null or empty text is one passage without
-    words. Repeated rows give repeated results, an empty table gives none. Columns named score or
-    attention in ``keep`` are not allowed.
+    words. Repeated rows give repeated results, an empty table gives none.
     """
     keep = docs.columns if keep is None else keep
     inner = [f"_{i}" for i in range(len(keep))]
@@ -222,4 +221,5 @@ def score(docs: DataFrame, model: Network | float, text: str = "text", keep: lis
 
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, inner)], F.col(text).cast("string").alias("_text"))
     scored = map_batches(rows, work, schema)
-    return scored.select(*[F.col(n).alias(c) for n, c in zip(inner, keep)], F.col("_score").alias("score"), F.col("_attention").alias("attention"))
+    row = F.struct(*[F.col(n).alias(c) for n, c in zip(inner, keep)])
+    return scored.select(F.col("_score").alias("score"), F.col("_attention").alias("attention"), row.alias("row"))

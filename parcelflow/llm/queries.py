@@ -104,7 +104,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
     network = quality.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
-    return quality.score(docs, network, keep=["doc_id"]).select(
+    return quality.score(docs, network, keep=["doc_id"]).select("row.doc_id", "score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
@@ -119,7 +119,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
-    return toxicity.score(docs, model, keep=["doc_id"]).select(
+    return toxicity.score(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "evidence").select(
         "doc_id",
         held_out.alias("held_out"),
         "score",

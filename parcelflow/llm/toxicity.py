@@ -232,12 +232,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, k: int = NEAREST) -> DataFrame:
-    """The columns ``keep`` of the input (all by default) with score (0 to 1) and evidence, one row per input row.
+    """score (0 to 1), evidence, and the input's columns ``keep`` (all by default) as a struct ``row``, one row per input row.
 
     The score is the probability of label 1; ``evidence`` lists the nearest examples: doc_id, cosine,
     label. A text without known terms, an empty or a null one, has no neighbours and the score of such
-    texts. Repeated rows give repeated results; an empty table gives none. Columns named score or
-    evidence in ``keep`` are not allowed.
+    texts. Repeated rows give repeated results; an empty table gives none.
     """
     keep = docs.columns if keep is None else keep
     inner = [f"_{i}" for i in range(len(keep))]
@@ -263,4 +262,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, inner)], F.col(text).cast("string").alias("_text"))
     scored = map_batches(rows, work, schema)
-    return scored.select(*[F.col(n).alias(c) for n, c in zip(inner, keep)], F.col("_score").alias("score"), F.col("_evidence").alias("evidence"))
+    row = F.struct(*[F.col(n).alias(c) for n, c in zip(inner, keep)])
+    return scored.select(F.col("_score").alias("score"), F.col("_evidence").alias("evidence"), row.alias("row"))
