@@ -37,7 +37,7 @@ SAMPLE_DOCS, RANDOM_STRINGS = 2_000, 2_000
 BLOCK = 256
 
 MARK = "[SECRET]"
-NO_SPANS = F.expr("CAST(array() AS array<struct<start:int,rank:int,end:int,kind:string>>)")
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
 def running(numbers: Column) -> Column:
@@ -75,7 +75,7 @@ def spans(text: Column, pattern: str, matches: Column, kind: str, rank: int, fit
             x["start"].cast("int").alias("start"), F.lit(rank).alias("rank"), x["end"].cast("int").alias("end"), F.lit(kind).alias("kind")
         ),
     )
-    return F.when(F.size(matches) > 0, found).otherwise(NO_SPANS)
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(SPANS))
 
 
 def matches(text: Column) -> dict[str, Column]:
