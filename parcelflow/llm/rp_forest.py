@@ -67,8 +67,8 @@ class Forest:
             found[:, t] = node - len(self.bounds[t])
         return found
 
-    def search(self, x: np.ndarray, sizes: np.ndarray, share: float) -> list[tuple[int, int]]:
-        """Leaves (tree, leaf) for one query, nearest first, until they hold ``share`` of all vectors.
+    def search(self, x: np.ndarray, sizes: np.ndarray, share: float, least: int) -> list[tuple[int, int]]:
+        """Leaves (tree, leaf) for one query, nearest first, until they hold ``share`` of all vectors and ``least`` of one tree.
 
         A vector lies in one leaf of each tree; trees are taken to fall independently when the leaves' shares add up.
         """
@@ -84,7 +84,7 @@ class Forest:
                 if sizes[t, node - inner]:
                     taken.append((t, node - inner))
                     seen[t] += sizes[t, node - inner]
-                    if 1 - np.prod(1 - seen / totals) >= share:
+                    if seen.max() >= least and 1 - np.prod(1 - seen / totals) >= share:
                         break
                 continue
             margin = heights[t, (node + 1).bit_length() - 1] - self.bounds[t, node]
@@ -133,7 +133,7 @@ def nearest(
 
     asking = able.filter("asks")
     asked = written(asking.groupBy("vector").agg(F.min("id").alias("asker")), "asked")
-    visits = map_batches(asked, visiting(forest, sizes, parts, share), f"tree int, leaf int, part int, asker bigint, vector {kind}")
+    visits = map_batches(asked, visiting(forest, sizes, parts, share, k + 2), f"tree int, leaf int, part int, asker bigint, vector {kind}")
     placed = filed.withColumn("part", part_of(parts))
     found = visits.groupBy("tree", "leaf", "part").cogroup(placed.groupBy("tree", "leaf", "part")).applyInArrow(
         exact(k), "asker bigint, vec_id bigint, score double"
@@ -174,12 +174,12 @@ def filing(forest: Forest):
     return work
 
 
-def visiting(forest: Forest, sizes: np.ndarray, parts: np.ndarray, share: float):
+def visiting(forest: Forest, sizes: np.ndarray, parts: np.ndarray, share: float, least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for i, x in enumerate(matrix(batch.column(0))):
-                found += [(t, leaf, p, i) for t, leaf in forest.search(x, sizes, share) for p in range(int(parts[t, leaf]))]
+                found += [(t, leaf, p, i) for t, leaf in forest.search(x, sizes, share, least) for p in range(int(parts[t, leaf]))]
             tree, leaf, part, row = (np.array(c) for c in zip(*found)) if found else [np.array([], np.int64)] * 4
             taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(

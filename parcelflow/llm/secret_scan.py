@@ -30,6 +30,9 @@ WIDTH = len(ALPHABET) + 1
 #: A token is a secret if its log-likelihood ratio is at least this: odds of 1 in 10,000 turned round.
 LEAST_RATIO = math.log(10_000)
 
+#: Different characters in a token that may be a secret.
+LEAST_DISTINCT = 8
+
 #: Bounds of the labelled samples: documents whose words and base secrets are used, and random strings added.
 SAMPLE_DOCS, RANDOM_STRINGS = 2_000, 2_000
 
@@ -122,7 +125,7 @@ def samples(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def codes(token: Column) -> Column:
     """Numbers of the characters of a token; 0 stands for its start and for other characters."""
-    own = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(ALPHABET), F.substr(token, i, F.lit(1))))
+    own = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
     return F.concat(F.array(F.lit(0)), own)
 
 
@@ -161,7 +164,9 @@ def scanned(docs: DataFrame, model: list[float], text: str, least_ratio: float)
     based = found.select(
         "_row", "_text", F.array_sort(base_spans()).alias("_base"), F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0)).alias("_tokens")
     )
-    likely = F.transform("_tokens", lambda t: ratio(t, model) >= least_ratio)
+    # runs of a few characters are no random strings, however rare they are in words
+    varied = lambda t: F.size(F.array_distinct(F.split(t, ""))) >= LEAST_DISTINCT
+    likely = F.transform("_tokens", lambda t: varied(t) & (ratio(t, model) >= least_ratio))
     markov = spans(F.col("_text"), CANDIDATE, F.col("_tokens"), "markov", 3, likely)
     apart = F.filter(markov, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return based.select("_row", "_text", "_base", F.array_sort(F.concat("_base", apart)).alias("_all"))
@@ -173,7 +178,7 @@ def scan(
     """Secrets of every whole text: doc_id, base and spans (arrays of start, rank, end, kind), one row per input row.
 
     ``base`` has the spans of the three patterns, ``spans`` also those of kind ``markov``: candidate tokens
-    that overlap no base span and whose ratio is at least ``least_ratio``. Positions are code points, ends
+    that overlap no base span, have LEAST_DISTINCT different characters, and whose ratio is at least ``least_ratio``. Positions are code points, ends
     exclusive; spans are in order of start, then kind. ``labelled`` (sample, secret 0/1) trains the models;
     by default the samples are taken from the documents. A null text counts as empty and has no spans;
     repeated rows give repeated results; an empty table gives none; other columns do not pass.
