@@ -13,9 +13,9 @@ from functools import partial
 from time import monotonic
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from parcelflow.model import CITY_NAMES, CONTRACTS
+from parcelflow.model import CITY_NAMES, CONTRACTS, WATERMARK_START
 from parcelflow.operators import audit, gate, summary, verdicts
 from parcelflow.operators.cleanse import clean_schema
 from parcelflow.operators.reports import quality_report
@@ -23,8 +23,6 @@ from parcelflow.plans import gold as model, silver as cleaning
 from parcelflow.plans.together import together
 from parcelflow.sources import ingest, layers
 
-MESSAGE_LIMIT = 4_000
-
 
 class VolumeAlert(RuntimeError):
     """The audit found an anomaly; the run stops before cleaning."""
@@ -84,13 +82,21 @@ def read_log(run: Run) -> DataFrame | None:
         raise
 
 
-def ingest_all(run: Run, sources: dict[str, DataFrame], full_reload: bool = False) -> dict[str, int]:
-    """Copy what changed in each source; log every table, then move the watermarks."""
+def ingest_all(
+    run: Run, sources: dict[str, DataFrame], full_reload: bool = False, upper: datetime | None = None
+) -> dict[str, int]:
+    """Copy what changed in each source; log every table, then move the watermarks.
+
+    A batch that succeeded before is repeated over its own logged range and into its own folder, whatever batches came
+    after it. ``upper`` saves looking for the newest change in each source.
+    """
     log = read_log(run)
     tables = list(sources)
     control = ingest.initial_control(run.spark, tables)
+    done: dict[str, Row] = {}
     if log is not None:
-        # A repeat of this batch starts where the batch started.
+        # one row per table
+        done = {r["table_name"]: r for r in ingest.succeeded(log).filter(F.col("batch_id") == run.batch_id).collect()}
         control = ingest.advance(control, log.filter(F.col("batch_id") != run.batch_id))
     # One row per table; held here, because the log folder it comes from is written below.
     rows = control.collect()
@@ -100,26 +106,32 @@ def ingest_all(run: Run, sources: dict[str, DataFrame], full_reload: bool = Fals
     failures: dict[str, Exception] = {}
 
     def copy(table: str) -> dict[str, object]:
-        start, begun = lower[table], monotonic()
-        upper, records, written = start, 0, 0
+        earlier, begun = done.get(table), monotonic()
+        first = datetime.fromisoformat(WATERMARK_START)
+        start = earlier["watermark_from"] if earlier else first if full_reload else lower[table]
+        # a repeat goes to the day of the first time
+        instant = earlier["ingested_at"] if earlier else run.now()
+        until, records, written = start, 0, 0
         try:
             # fixed before the copy: what is written meanwhile belongs to the next batch
-            upper = ingest.upper_watermark(sources[table]).first()["watermark_to"] or start
-            changed = ingest.extract(sources[table], start, upper, full_reload=full_reload)
-            stamped = ingest.stamp(changed, run.batch_id, run.source_system, run.now())
-            records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, run.now())
+            newest = earlier["watermark_to"] if earlier else upper or ingest.upper_watermark(sources[table]).first()["watermark_to"]
+            until = newest or start
+            changed = ingest.extract(sources[table], start, until)
+            stamped = ingest.stamp(changed, run.batch_id, run.source_system, instant)
+            records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, instant)
         except Exception as error:
             failures[table] = error
         return {
             "batch_id": run.batch_id,
             "table_name": table,
             "watermark_from": start,
-            "watermark_to": upper,
+            "watermark_to": until,
             "records": records,
             "bytes": written,
             "seconds": round(monotonic() - begun, 3),
             "status": "FAILED" if table in failures else "SUCCESS",
             "logged_at": run.now(),
+            "ingested_at": instant,
         }
 
     copied = together(run.spark, {t: partial(copy, t) for t in tables})
@@ -215,7 +227,7 @@ def note_failure(run: Run, stage: str, error: Exception) -> None:
     payload = F.to_json(
         F.struct(
             F.lit(type(error).__name__).alias("type"),
-            F.lit(str(error)[:MESSAGE_LIMIT]).alias("message"),
+            F.lit(str(error)).alias("message"),
             F.lit(stage).alias("stage"),
         )
     )
@@ -248,12 +260,13 @@ def run(
     settings: Run,
     sources: dict[str, DataFrame],
     full_reload: bool = False,
+    upper: datetime | None = None,
     force_alert: bool = False,
     city_names: dict[str, str] = CITY_NAMES,
 ) -> str:
     """The whole run; returns the summary line."""
     settings.spark.conf.set("spark.sql.session.timeZone", "UTC")
-    staged(settings, "ingest", lambda: ingest_all(settings, sources, full_reload))
+    staged(settings, "ingest", lambda: ingest_all(settings, sources, full_reload, upper))
     verdict, alerted = staged(settings, "audit", lambda: audit_volumes(settings, list(sources), force_alert))
     if alerted:
         raise VolumeAlert(verdict)

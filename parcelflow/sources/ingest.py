@@ -16,7 +16,7 @@ from parcelflow.sources.layers import batch_folder
 
 LOG_SCHEMA = (
     "batch_id string, table_name string, watermark_from timestamp, watermark_to timestamp, "
-    "records bigint, bytes bigint, seconds double, status string, logged_at timestamp"
+    "records bigint, bytes bigint, seconds double, status string, logged_at timestamp, ingested_at timestamp"
 )
 CONTROL_SCHEMA = "table_name string, watermark timestamp, last_batch_id string, updated_at timestamp"
 
@@ -39,11 +39,15 @@ def extract(
 ) -> DataFrame:
     """Rows changed after ``lower`` up to and including ``upper``; the filter reaches the source's scan.
 
-    The bounds take the type of the column, so that the column itself stays bare.
+    The bounds take the type of the column, so that the column itself stays bare. A first copy (from
+    WATERMARK_START) and a full reload have no lower bound and also take the rows without a time of change, which
+    no later increment can see.
     """
     kind = dict(source.dtypes)[changed]
-    start = WATERMARK_START if full_reload else lower
-    return source.filter((F.col(changed) > F.lit(start).cast(kind)) & (F.col(changed) <= F.lit(upper).cast(kind)))
+    until = F.col(changed) <= F.lit(upper).cast(kind)
+    if full_reload or str(lower) == WATERMARK_START:
+        return source.filter(until | F.col(changed).isNull())
+    return source.filter((F.col(changed) > F.lit(lower).cast(kind)) & until)
 
 
 def stamp(rows: DataFrame, batch_id: str, source_system: str, instant: datetime | str) -> DataFrame:
@@ -55,7 +59,7 @@ def stamp(rows: DataFrame, batch_id: str, source_system: str, instant: datetime
 def append_raw(rows: DataFrame, root: str, table: str, batch_id: str, instant: datetime) -> tuple[int, int]:
     """Add stamped rows to ``table/year=/month=/day=`` of the ingest date; returns (rows, bytes) written.
 
-    The batch has a folder of its own below the day, so repeating it adds nothing.
+    The batch has a folder of its own below the day, so repeating it with the same instant adds nothing.
     """
     day = f"{root}/{table}/year={instant:%Y}/month={instant:%m}/day={instant:%d}"
     folder = batch_folder(day, batch_id)

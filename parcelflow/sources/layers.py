@@ -30,8 +30,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def scan_layer(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files below a folder; folder names do not become columns."""
-    return spark.read.option("recursiveFileLookup", True).parquet(path)
+    """All Parquet files below a folder; folder names do not become columns. Columns added over time are null before."""
+    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

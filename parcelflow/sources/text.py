@@ -11,9 +11,10 @@ from parcelflow.operators.verdicts import typed
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as text, header names trimmed and in lower case.
 
-    Quoted line breaks need ``multi_line``, which makes a file one task.
+    Quoted line breaks need ``multi_line``, which makes a file one task. Files of one folder must have the same
+    header; one that differs fails the read rather than give its values to other columns.
     """
-    rows = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
+    rows = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line).csv(path)
     return rows.toDF(*[name.strip().lower() for name in rows.columns])
 
 

@@ -71,7 +71,7 @@ def test_scratch_folder_is_the_configured_one():
 def log(spark, *entries):
     schema = ingest.LOG_SCHEMA
     return spark.createDataFrame(
-        [(b, t, None, at, n, 10, 1.0, status, at) for b, t, at, n, status in entries], schema
+        [(b, t, None, at, n, 10, 1.0, status, at, at) for b, t, at, n, status in entries], schema
     )
 
 
