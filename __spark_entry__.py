@@ -181,7 +181,7 @@ def referenced(table: str) -> Query:
         contract = CONTRACTS[table]
         judged = cleaning.judge_all(raw, [ref.parent for ref in contract.references])
         keys = {t: v.closed_keys(df, CONTRACTS[t]) for t, df in judged.items()}
-        checked = v.check_references(v.judge(raw[table], contract), contract, keys, raw[table])
+        checked = v.check_references(v.judge(raw[table], contract), contract, keys)
         return v.survivors(checked.filter(F.col("_broken_ref").isNull()))
 
     return query
@@ -229,7 +229,7 @@ def free_text_masked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    silver = _silver(spark, sf, "drivers", "shipments", "routes", "ratings")
+    silver = _silver(spark, sf, *CONTRACTS)
     return reduce(DataFrame.unionByName, [reports.null_profile(df, t) for t, df in silver.items()])
 
 

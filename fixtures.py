@@ -70,11 +70,11 @@ VIEWS = {
                CAST(l_shipdate AS DATE) AS attempt1_date,
                concat(lpad(CAST(least(8 + l_partkey % 15 + l_suppkey % 8, 23) AS STRING), 2, '0'), ':45:00')
                    AS attempt1_time,
-               CASE WHEN l_returnflag = 'A' THEN 'Delivered' ELSE 'Failed' END AS attempt1_result,
+               CASE WHEN l_returnflag = 'A' THEN 'Entregado' ELSE 'Failed' END AS attempt1_result,
                CASE WHEN l_returnflag <> 'A' AND l_partkey % 3 > 0
                     THEN CAST(CAST(l_shipdate AS DATE) + CAST(1 + l_suppkey % 2 AS INT) AS DATE) END AS attempt2_date,
                CASE WHEN l_returnflag <> 'A' AND l_partkey % 3 > 0 THEN '10:15:00' END AS attempt2_time,
-               CASE WHEN l_returnflag = 'N' AND l_partkey % 3 > 0 THEN 'Delivered'
+               CASE WHEN l_returnflag = 'N' AND l_partkey % 3 > 0 THEN 'Entregado'
                     WHEN l_returnflag <> 'A' THEN 'Failed' END AS attempt2_result,
                CASE WHEN l_returnflag = 'A'
                     THEN CAST(CAST(l_shipdate AS DATE)
@@ -82,15 +82,15 @@ VIEWS = {
                     WHEN l_returnflag = 'N' AND l_partkey % 3 > 0
                     THEN CAST(CAST(l_shipdate AS DATE) + CAST(1 + l_suppkey % 2 AS INT) AS DATE) END AS delivered_date,
                CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'N' AND l_partkey % 3 > 0)
-                    THEN 'Delivered' ELSE 'Not_delivered' END AS final_status,
+                    THEN 'Entregado' ELSE 'Not_delivered' END AS final_status,
                CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'N' AND l_partkey % 3 > 0) THEN NULL
-                    WHEN l_suppkey % 3 = 0 THEN 'DEST_ABSENT'
-                    WHEN l_suppkey % 3 = 1 THEN 'BAD_ADDRESS' ELSE 'UNKNOWN_CODE' END AS failure_code,
+                    WHEN l_suppkey % 3 = 0 THEN 'DEST_AUSENTE'
+                    WHEN l_suppkey % 3 = 1 THEN 'DIR_INCORRECTA' ELSE 'UNKNOWN_CODE' END AS failure_code,
                CASE WHEN l_partkey % 20 = 3 THEN NULL ELSE l_extendedprice END AS declared_value,
                l_shipdate AS updated_at
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey""",
     "routes": """
-        SELECT concat('T', l_orderkey) AS route_id,
+        SELECT concat('T', l_orderkey, '-', l_linenumber) AS route_id,
                concat('D', l_suppkey) AS driver_id,
                CAST(l_shipdate AS DATE) AS route_date,
                concat(lpad(CAST(5 + l_partkey % 6 AS STRING), 2, '0'), ':00:00') AS start_time,
@@ -103,7 +103,7 @@ VIEWS = {
                l_discount * 100 AS deviation_km,
                CASE WHEN l_partkey % 20 = 7 THEN NULL ELSE l_quantity / 8 END AS fuel,
                l_shipdate AS updated_at
-        FROM {lineitem} WHERE l_linenumber = 1""",
+        FROM {lineitem}""",
     "ratings": """
         SELECT concat('R', o_orderkey) AS rating_id,
                concat('S', o_orderkey, '-1') AS shipment_id,

@@ -142,7 +142,7 @@ def _parts(date: str, prefix: str) -> str:
     return f"CAST(year({date}) AS INT) AS {prefix}_year, CAST(month({date}) AS INT) AS {prefix}_month"
 
 
-DELIVERED = "final_status = 'Delivered'"
+DELIVERED = "final_status = 'Entregado'"
 MEAN_HOURS = "CAST(sum(epoch(delivery_ts) - epoch(received_ts)) AS DOUBLE) / (count(delivery_ts) * 3600)"
 PENALTY = f"{_exact('estimated_penalty')} AS penalty_total"
 SLA_RATE = "avg(CAST(sla_met AS INT)) AS sla_rate"
@@ -173,8 +173,8 @@ GOLD = {
     "shipment_instants": f"""
         SELECT s.*, CAST(r.sla_hours AS DOUBLE) AS sla_hours, r.penalty_rate,
                {_combine("received_date", "received_time")} AS received_ts,
-               CASE WHEN attempt2_result = 'Delivered' THEN {_combine("attempt2_date", "attempt2_time")}
-                    WHEN attempt1_result = 'Delivered' THEN {_combine("attempt1_date", "attempt1_time")}
+               CASE WHEN attempt2_result = 'Entregado' THEN {_combine("attempt2_date", "attempt2_time")}
+                    WHEN attempt1_result = 'Entregado' THEN {_combine("attempt1_date", "attempt1_time")}
                     ELSE CAST(delivered_date AS TIMESTAMP) END AS delivery_ts,
                CAST(due_date AS TIMESTAMP) + INTERVAL 86399 SECONDS AS due_ts
         FROM shipments_silver s LEFT JOIN shippers_silver r ON s.shipper_id = r.shipper_id""",
@@ -184,12 +184,12 @@ GOLD = {
         FROM shipment_instants""",
     "fact_shipment": f"""
         SELECT d.* EXCLUDE (delay_hours), {DELIVERED} AND delivery_hours <= sla_hours AS sla_met,
-               CASE failure_code WHEN 'DEST_ABSENT' THEN 'Recipient absent' WHEN 'BAD_ADDRESS' THEN 'Wrong address'
+               CASE failure_code WHEN 'DEST_AUSENTE' THEN 'Destinatario ausente' WHEN 'DIR_INCORRECTA' THEN 'Direccion incorrecta'
                     WHEN 'HARD_ZONE' THEN 'Zone hard to reach' WHEN 'REJECTED' THEN 'Parcel refused'
                     WHEN 'OTHER' THEN 'Other' END AS failure_text,
                CAST(CASE WHEN attempt2_date IS NOT NULL THEN 2 ELSE 1 END AS INT) AS attempts,
                delay_hours,
-               CASE WHEN final_status <> 'Delivered' THEN 'Not delivered' WHEN delay_hours IS NULL THEN 'Unknown'
+               CASE WHEN final_status <> 'Entregado' THEN 'Not delivered' WHEN delay_hours IS NULL THEN 'Unknown'
                     WHEN delay_hours <= 0 THEN 'On time' WHEN delay_hours <= 4 THEN 'Light delay'
                     WHEN delay_hours <= 24 THEN 'Moderate delay' ELSE 'Critical delay' END AS delay_class,
                CASE WHEN NOT ({DELIVERED} AND delivery_hours <= sla_hours) THEN declared_value * penalty_rate
@@ -260,7 +260,7 @@ GOLD = {
         SELECT *, {_hours("previous_ts", "event_ts")} AS hours_since_previous, {_parts("event_ts", "event")}
         FROM ordered_events""",
     "zone_day_failure": f"""
-        SELECT zone_id, received_date AS day, {_share("final_status <> 'Delivered'")} AS failure_rate,
+        SELECT zone_id, received_date AS day, {_share("final_status <> 'Entregado'")} AS failure_rate,
                CAST(dayofweek(received_date) + 1 AS INT) AS weekday
         FROM fact_shipment GROUP BY zone_id, received_date""",
     "zone_base": """
@@ -380,6 +380,9 @@ def _null_profile(table: str, columns: list[str]) -> str:
 
 
 NULL_COLUMNS = {
+    "zones": "zone_id zone_name city_code district lat lon traffic_level zone_type depot_km updated_at",
+    "shippers": "shipper_id legal_name client_type main_city sla_hours penalty_rate active updated_at",
+    "incidents": "incident_id shipment_id incident_date incident_type agent_id action_required updated_at incident_text_hash",
     "drivers": "driver_id doc_type doc_hash hire_date base_city vehicle_type home_zone_id active rating_avg updated_at "
     "first_name_hash last_name_hash rating_avg_missing",
     "shipments": "shipment_id shipper_id driver_id zone_id package_type weight_kg received_date received_time due_date "

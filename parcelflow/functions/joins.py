@@ -1,58 +1,14 @@
-"""Left lookup joins that stay balanced when one key holds much of the rows."""
+"""Left lookup joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-HOT_ROWS = 1_000_000
-SLICES = 64
 
+def lookup(df: DataFrame, table: DataFrame, on: str) -> DataFrame:
+    """Left join with a table that has at most one row per ``on``; columns of ``df``, then those of ``table``.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size of the result as the optimizer estimates it (statistics or file sizes)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
-    for unit, factor in (("kb", 2**10), ("mb", 2**20), ("gb", 2**30), ("b", 1)):
-        if text.endswith(unit):
-            return int(text[: -len(unit)]) * factor
-    return int(text)
-
-
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    on: str,
-    spread_by: str,
-    counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join with a table that has at most one row per ``on``.
-
-    For a table below Spark's own broadcast limit this is a plain join, which Spark
-    broadcasts. Beyond it the join shuffles: keys with more than ``hot_rows`` rows
-    are cut into slices by a hash of ``spread_by``, and only their rows of ``table``
-    are repeated per slice. At most rows/hot_rows keys can be hot, which bounds what
-    is broadcast to mark them. Keys are counted on ``counted``, a table with at
-    least the rows of ``df`` that is cheap to read; ``df`` itself by default.
-    Column order: those of ``df``, then those of ``table``.
+    Spark picks the strategy: it broadcasts a small table, by its size as planned or as found at run time,
+    and otherwise shuffles and splits the rows of a key (or of null) that holds much of them.
     """
-    extra = [c for c in table.columns if c != on]
-    if estimated_bytes(table) <= broadcast_limit(df):
-        return df.join(table, on, "left").select(*df.columns, *extra)
-
-    hot = F.broadcast(
-        (df if counted is None else counted).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > hot_rows) & F.col(on).isNotNull())
-        .select(on, F.lit(True).alias("_hot"))
-    )
-    # Null never matches: its rows are spread as well, they need no partner.
-    left = df.join(hot, on, "left").withColumn(
-        "_slice", F.expr(f"IF(_hot OR {on} IS NULL, CAST(pmod(xxhash64({spread_by}), {SLICES}) AS INT), 0)")
-    )
-    right = table.join(hot, on, "left").withColumn(
-        "_slice", F.expr(f"explode(IF(_hot, sequence(0, {SLICES - 1}), array(0)))")
-    )
-    return left.join(right.drop("_hot"), [on, "_slice"], "left").select(*df.columns, *extra)
+    return df.join(table, on, "left").select(*df.columns, *[c for c in table.columns if c != on])

@@ -13,12 +13,11 @@ def repeat_rows(df: DataFrame, times: str, ordinal: str, keys: list[str]) -> Dat
     A count may be as large as the table. It is cut into chunks that are spread
     over the cluster before they unfold, so that no task writes out one group alone.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.col("_chunk") * CHUNK + 1
     return (
         df.filter(F.col(times) > 0)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(`{times}` - 1) div {CHUNK}"))))
-        .repartition(partitions, *keys, "_chunk")
+        .repartition(*keys, "_chunk")
         .withColumn(ordinal, F.explode(F.sequence(first, F.least(F.col(times), first + CHUNK - 1))))
         .drop("_chunk", times)
     )

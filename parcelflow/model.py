@@ -188,7 +188,8 @@ PII_REGISTER = (
     Sensitive("shipments", "declared_value", "BUSINESS_SENSITIVE", "restricted"),
 )
 
-DELIVERED = "Delivered"
+# Fixed value: result and final status of a delivered shipment in the source.
+DELIVERED = "Entregado"
 
 # City codes and names.
 CITY_NAMES = {
@@ -206,11 +207,11 @@ CITY_NAMES = {
 
 # Reasons of a failed delivery.
 FAILURE_TEXTS = {
-    "DEST_ABSENT": "Recipient absent",
-    "BAD_ADDRESS": "Wrong address",
-    "HARD_ZONE": "Zone hard to reach",
-    "REJECTED": "Parcel refused",
-    "OTHER": "Other",
+    "DEST_AUSENTE": "Destinatario ausente",
+    "DIR_INCORRECTA": "Direccion incorrecta",
+    "ZONA_DIFICIL": "Zona de dificil acceso",
+    "RECHAZADO": "Paquete rechazado",
+    "OTRO": "Otro",
 }
 
 # Word contained in the source text -> class, first hit wins.

@@ -59,7 +59,7 @@ def check_suite(df: DataFrame, key: str, checks: tuple[Check, ...], parents: dic
     for check in checks:
         if isinstance(check, ReferenceCheck):
             known = parents[check.column].select(check.column, F.lit(True).alias(f"_known_{check.column}"))
-            df = lookup(df, known, check.column, spread_by=key)
+            df = lookup(df, known, check.column)
 
     def fails(check: Check) -> Column:
         if isinstance(check, RowCheck):

@@ -30,7 +30,7 @@ def delay_class(status: str, delay_hours: str) -> Column:
 def fact_shipment(shipments: DataFrame, shippers: DataFrame) -> DataFrame:
     """One row per shipment with SLA terms, instants, durations and estimated penalty."""
     terms = shippers.select("shipper_id", F.col("sla_hours").cast("double").alias("sla_hours"), "penalty_rate")
-    instants = lookup(shipments, terms, "shipper_id", spread_by="shipment_id").withColumns(
+    instants = lookup(shipments, terms, "shipper_id").withColumns(
         {
             "received_ts": instant("received_date", "received_time"),
             "delivery_ts": delivery_instant(),

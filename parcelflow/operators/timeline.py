@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from parcelflow.functions.rows import repeat_rows
 from parcelflow.functions.timeparts import hours_between, instant, year_month
 
-# An event with more copies than this is unfolded over several tasks.
-MANY_COPIES = 1_000_000
-
 
 def shipment_events(fact: DataFrame) -> DataFrame:
     """Reception, attempts and delivery of each shipment: shipment_id, event_ts, event."""
@@ -56,31 +53,17 @@ def incident_events(incidents: DataFrame, fact: DataFrame) -> DataFrame:
     ).drop("_copy")
 
 
-def timeline(
-    events: DataFrame, key: str, ts: str, label: str, copies: str, many: int = MANY_COPIES
-) -> DataFrame:
+def timeline(events: DataFrame, key: str, ts: str, label: str, copies: str) -> DataFrame:
     """Number the events of each key by instant and label, with the instant of the one before.
 
     ``events`` holds distinct (key, instant, label) with their number of copies.
     Copies have equal sort values, so their numbers follow one another: the
-    window runs over distinct events only, and the copies unfold afterwards. An
-    event with more than ``many`` copies unfolds over several tasks; there are
-    at most rows/many keys with such an event, which bounds the broadcast.
+    window runs over distinct events only, and the copies unfold afterwards.
     """
-
-    def placed(rows: DataFrame) -> DataFrame:
-        order = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_first(), F.col(label).asc_nulls_first())
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumns(
-            {"_offset": F.coalesce(F.sum(copies).over(before), F.lit(0)), "_previous": F.lag(ts).over(order)}
-        )
-
-    few = placed(events).filter(F.col(copies) <= many)
-    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).drop(copies)
-    crowded = F.broadcast(events.filter(F.col(copies) > many).select(key).distinct())
-    lots = placed(events.join(crowded, key, "left_semi")).filter(F.col(copies) > many)
-    lots = repeat_rows(lots, copies, "_copy", [key, ts, label])
-    return few.unionByName(lots).select(
+    order = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_first(), F.col(label).asc_nulls_first())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = events.withColumns({"_offset": F.coalesce(F.sum(copies).over(before), F.lit(0)), "_previous": F.lag(ts).over(order)})
+    return repeat_rows(placed, copies, "_copy", [key, ts, label]).select(
         key,
         ts,
         label,

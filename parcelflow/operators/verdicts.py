@@ -28,8 +28,6 @@ VERDICT_COLUMNS = ["_copies", "_missing", "_invalid", "_survives", "_broken_ref"
 
 
 def _always_converts(source: str, kind: str) -> bool:
-    if kind == "double":
-        return source in ("tinyint", "smallint", "int", "bigint", "float", "double") or source.startswith("decimal")
     if kind == "timestamp":
         return source in ("date", "timestamp", "timestamp_ntz")
     return kind in ("string", source)
@@ -38,8 +36,8 @@ def _always_converts(source: str, kind: str) -> bool:
 def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     """The declared columns in their declared types, with the checks of the row.
 
-    ``_bad`` names the columns that did not convert, ``_lacks`` tells whether a
-    required value is absent. Undeclared columns do not pass; declared ones that
+    ``_bad`` names the columns that did not convert, or not to a time of day or a finite number;
+    their values are null. ``_lacks`` tells whether a required value is absent. Undeclared columns do not pass; declared ones that
     the input lacks are null. Ingest columns are kept where present.
     """
     have = dict(raw.dtypes)
@@ -50,6 +48,11 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
             columns.append(f"CAST(NULL AS {'string' if kind == 'time' else kind}) AS {name}")
         elif kind == "time":
             columns.append(f"{time_of_day_sql(name)} AS {name}")
+            bad.append(f"CASE WHEN {name} IS NOT NULL AND {time_of_day_sql(name)} IS NULL THEN '{name}' END")
+        elif kind == "double":
+            finite = f"nullif(nullif(nullif(try_cast({name} AS DOUBLE), double('NaN')), double('Infinity')), double('-Infinity'))"
+            columns.append(f"{finite} AS {name}")
+            bad.append(f"CASE WHEN {name} IS NOT NULL AND {finite} IS NULL THEN '{name}' END")
         elif have[name] == kind:
             columns.append(name)
         elif _always_converts(have[name], kind):
@@ -84,14 +87,11 @@ def judge(raw: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def check_references(
-    verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame], raw: DataFrame
-) -> DataFrame:
+def check_references(verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
     """Add ``_broken_ref``: the first declared reference whose parent is absent.
 
     ``parents`` maps a table to its key column (one row per key), already closed
-    under its own references, so that removals cascade. Keys with very many rows
-    are found on the ``raw`` table, by a scan of the one column.
+    under its own references, so that removals cascade.
     """
     found = verdicts
     steps = []
@@ -99,8 +99,7 @@ def check_references(
         hit = f"_has_{ref.column}"
         parent = parents[ref.parent]
         keys = parent.selectExpr(f"{parent.columns[0]} AS {ref.column}", f"true AS {hit}")
-        referring = raw.selectExpr(f"CAST({ref.column} AS STRING) AS {ref.column}") if ref.column in raw.columns else None
-        found = lookup(found, keys, ref.column, spread_by=contract.key, counted=referring)
+        found = lookup(found, keys, ref.column)
         steps.append(f"WHEN {hit} IS NULL THEN 'FK_INVALID_{ref.column}'")
     broken = f"CASE WHEN NOT _survives THEN NULL {' '.join(steps)} END" if steps else "CAST(NULL AS STRING)"
     return found.selectExpr(*verdicts.columns, f"{broken} AS _broken_ref")

@@ -12,7 +12,7 @@ from parcelflow.operators import cleanse, verdicts as v
 
 def judge_table(raw: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
     """All checks of one table, its columns already imputed and masked."""
-    referenced = v.check_references(v.judge(raw, contract), contract, parents, raw)
+    referenced = v.check_references(v.judge(raw, contract), contract, parents)
     return cleanse.finish(v.check_rules(referenced, contract), contract)
 
 

@@ -32,9 +32,9 @@ def shipment(i, **changes):
     base = {
         "shipment_id": f"S{i}", "shipper_id": "C1", "driver_id": "D1", "zone_id": "Z1", "package_type": "Small",
         "weight_kg": 2.0, "received_date": "2024-01-10", "received_time": "08:00:00", "due_date": "2024-01-11",
-        "attempt1_date": "2024-01-10", "attempt1_time": "10:00:00", "attempt1_result": "Delivered",
+        "attempt1_date": "2024-01-10", "attempt1_time": "10:00:00", "attempt1_result": "Entregado",
         "attempt2_date": None, "attempt2_time": None, "attempt2_result": None, "delivered_date": "2024-01-10",
-        "final_status": "Delivered", "failure_code": None, "declared_value": 100.0, "updated_at": T0,
+        "final_status": "Entregado", "failure_code": None, "declared_value": 100.0, "updated_at": T0,
     }
     return tuple((base | changes).values())
 
@@ -163,13 +163,12 @@ def test_missing_and_undeclared_columns(raw):
     assert kept.first().failure_code is None
 
 
-def test_sliced_references_give_the_same_findings(spark, raw, monkeypatch):
-    """With broadcasts off and every key hot, all references go through sliced joins."""
+@pytest.mark.parametrize("limit", ["-1", "64m"])
+def test_the_broadcast_limit_does_not_change_the_findings(spark, raw, limit):
     tables = raw([shipment(1), shipment(2, shipper_id="C404"), shipment(3, driver_id="D2"), shipment(4, zone_id=None)])
     expected = found(tables)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(v, "lookup", lambda *a, **k: joins.lookup(*a, **k, hot_rows=0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
         assert found(tables) == expected
         assert len(expected) == 3
@@ -177,6 +176,15 @@ def test_sliced_references_give_the_same_findings(spark, raw, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_unusable_times_and_numbers_are_invalid(spark):
+    raw_rows = [("S1", "noonish", "NaN"), ("S2", "08:15:00", "12.5"), ("S3", None, "Infinity"), ("S4", "1970-01-01 09:00:00", None)]
+    got = v.typed(spark.createDataFrame(raw_rows, "shipment_id string, received_time string, weight_kg string"), CONTRACTS["shipments"])
+    assert rows(got.select("shipment_id", "received_time", "weight_kg", "_bad")) == [
+        ("S1", None, None, ["weight_kg", "received_time"]), ("S2", "08:15:00", 12.5, []),
+        ("S3", None, None, ["weight_kg"]), ("S4", "09:00:00", None, []),
+    ]
+
+
 def test_no_clear_personal_text_leaves_the_cleaning(raw):
     silver = cleaning.silver(raw([shipment(1)]))
     hidden = {(s.table, s.column) for s in PII_REGISTER if s.treatment == "hash_and_drop"}

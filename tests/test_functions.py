@@ -62,21 +62,9 @@ def test_repeat_rows_numbers_every_copy(spark):
     assert rows(got) == [("a", n, n, 1, n), ("b", 1, 1, 1, 1)]
 
 
-@pytest.mark.parametrize("hot_rows", [3, 10**9])
-def test_sliced_lookup_equals_plain_join(spark, hot_rows):
-    facts = spark.range(500).select(
-        F.col("id"),
-        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id % 7) END").alias("k"),
-    )
-    table = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("k6", 4)], "k string, v int")
-    expected = rows(facts.join(table, "k", "left").select("id", "k", "v"), "id")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = joins.lookup(facts, table, "k", spread_by="id", hot_rows=hot_rows)
-        assert got.columns == ["id", "k", "v"]
-        assert rows(got, "id") == expected
-        assert "_slice" in got._jdf.queryExecution().optimizedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert rows(joins.lookup(facts, table, "k", spread_by="id"), "id") == expected
+def test_lookup_keeps_rows_and_column_order(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "a")], "id int, k string")
+    table = spark.createDataFrame([("a", 7), ("c", 8)], "k string, v int")
+    got = joins.lookup(facts, table, "k")
+    assert got.columns == ["id", "k", "v"]
+    assert rows(got, "id") == [(1, "a", 7), (2, "b", None), (3, None, None), (4, "a", 7)]
