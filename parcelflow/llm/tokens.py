@@ -20,11 +20,11 @@ import pyarrow.compute as pc
 import regex
 
 #: Distinct pieces that a worker remembers (about 50 bytes each); beyond them it forgets the long ones, which recur least.
-REMEMBERED = 2_000_000
+REMEMBERED = 800_000
 SHORT = 8
 
 #: Texts of a block, in bytes.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 4_000_000
 
 #: Fixed value: the pattern by which byte-level BPE splits text before its merges.
 BYTE_LEVEL_PATTERN = regex.compile(
@@ -38,16 +38,23 @@ Ids = tuple[np.ndarray, np.ndarray]  # all ids of a block, and where those of ea
 
 
 def blocks(batches, column: int = 1):
-    """Record batches gathered to blocks of about BLOCK_BYTES."""
+    """The rows of record batches in blocks of about BLOCK_BYTES of texts; a longer text is a block of its own."""
     held, size = [], 0
     for batch in batches:
-        held.append(batch)
-        size += batch.column(column).nbytes
-        if size >= BLOCK_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        rows = max(1, batch.num_rows * BLOCK_BYTES // max(BLOCK_BYTES, batch.column(column).nbytes))
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            held.append(part)
+            size += part.column(column).nbytes
+            if size >= BLOCK_BYTES:
+                yield joined(held)
+                held, size = [], 0
+    if held:
+        yield joined(held)
+
+
+def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
 class Memory:
