@@ -20,11 +20,11 @@ import pyarrow.compute as pc
 import regex
 
 #: Distinct pieces that a worker remembers (about 50 bytes each); beyond them it forgets the long ones, which recur least.
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
 SHORT = 8
 
 #: Texts of a block, in bytes.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 8_000_000
 
 #: Fixed value: the pattern by which byte-level BPE splits text before its merges.
 BYTE_LEVEL_PATTERN = regex.compile(
