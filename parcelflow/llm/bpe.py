@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from parcelflow.llm.shared import map_batches
 from parcelflow.llm.tokens import (
-    BYTE_LEVEL_PATTERN, Ids, Memory, blocks, byte_level_pieces, ids_of_pieces, is_plain,
+    BYTE_LEVEL_PATTERN, TOKENISED_BYTES, Ids, Memory, blocks, byte_level_pieces, ids_of_pieces, is_plain,
 )
 
 #: Stands between words, and where a symbol has been merged into the one before it.
@@ -197,13 +197,13 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     Returns doc_id, ids (binary: little-endian unsigned 32-bit) and decoded (string), one row per input
     row. A null text counts as empty and has no ids; repeated rows give repeated results; an empty table
     gives none; other columns of the input do not pass. The strings of special tokens within a text
-    become their ids, as in the library. Documents are encoded in blocks of about ``BLOCK_BYTES``,
+    become their ids, as in the library. Documents are encoded in blocks of about ``TOKENISED_BYTES``,
     so a task holds one block (or one longer document) and the words it has seen.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for block in blocks(batches):
+        for block in blocks(batches, size_limit=TOKENISED_BYTES):
             ids, bounds = bpe.encode(block.column(1))
             spans = list(zip(bounds.tolist(), bounds[1:].tolist()))
             encoded = pa.array([ids[s:e].tobytes() for s, e in spans], pa.binary())

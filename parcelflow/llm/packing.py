@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from parcelflow.llm.shared import map_batches, written
-from parcelflow.llm.tokens import blocks, encoder
+from parcelflow.llm.tokens import TOKENISED_BYTES, blocks, encoder
 
 #: Rests of up to capacity // CUT_UNTIL ids are not cut further.
 CUT_UNTIL = 8
@@ -96,7 +96,7 @@ def pack(
         encode = encoder(path, byte_level=True).encode
         bins = Bins(TaskContext.get().partitionId(), capacity)
         end = np.array([end_id], "<u4")
-        for block in blocks(batches):
+        for block in blocks(batches, size_limit=TOKENISED_BYTES):
             ids, bounds = encode(block.column(1))
             for doc, a, b in zip(block.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
                 own = np.concatenate([ids[a:b], end])

@@ -19,12 +19,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from parcelflow.llm.shared import give_back
+
 #: Distinct pieces that a worker remembers (about 50 bytes each); beyond them it forgets the long ones, which recur least.
 REMEMBERED = 1_000_000
 SHORT = 8
 
-#: Texts of a block, in bytes.
+#: Texts of a block, in bytes; tokenising holds some fifty times as many for a while and takes smaller blocks.
 BLOCK_BYTES = 8_000_000
+TOKENISED_BYTES = 2_000_000
 
 #: Fixed value: the pattern by which byte-level BPE splits text before its merges.
 BYTE_LEVEL_PATTERN = regex.compile(
@@ -37,18 +40,19 @@ CONTROL_SEPARATORS = "[\x1c-\x1f]"
 Ids = tuple[np.ndarray, np.ndarray]  # all ids of a block, and where those of each text begin and end
 
 
-def blocks(batches, column: int = 1):
-    """The rows of record batches in blocks of about BLOCK_BYTES of texts; a longer text is a block of its own."""
+def blocks(batches, column: int = 1, size_limit: int = BLOCK_BYTES):
+    """The rows of record batches in blocks of about ``size_limit`` bytes of texts; a longer text is a block of its own."""
     held, size = [], 0
     for batch in batches:
-        rows = max(1, batch.num_rows * BLOCK_BYTES // max(BLOCK_BYTES, batch.column(column).nbytes))
+        rows = max(1, batch.num_rows * size_limit // max(size_limit, batch.column(column).nbytes))
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             held.append(part)
             size += part.column(column).nbytes
-            if size >= BLOCK_BYTES:
+            if size >= size_limit:
                 yield joined(held)
                 held, size = [], 0
+                give_back()
     if held:
         yield joined(held)
 
