@@ -1,11 +1,12 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
-
-Examples are a bounded sample of the labelled documents; their terms are those that a chi-squared test
-tells apart between the classes. The examples lie in blocks of an inverted index that also keeps, for
-every term and block, the largest weight: a document's products with these maxima bound its cosine with
-every example of a block, and blocks whose bound is below the cosines already found are not opened. The k
-nearest are exact. Their votes, weighted by cosine, are turned to a probability by a logistic curve
-fitted on other labelled documents.
+"""Toxicity by the nearest labelled examples under exact cosine of class-weighted TF-IDF.
+
+Examples are a bounded sample of the labelled documents, with every word of theirs. A word weighs
+(1 + ln count) * idf * (1 + chi-squared): idf by the documents that have it among all documents, and
+chi-squared by how well it tells the classes of the examples apart. The examples lie in blocks of an
+inverted index that also keeps, for every term and block, the largest weight: a document's products with
+these maxima bound its cosine with every example of a block, and blocks whose bound is below the cosines
+already found are not opened. The k nearest are exact. Their votes, weighted by cosine, are turned to a
+probability by a logistic curve fitted on votes of examples that were left out.
 """
 
 from __future__ import annotations
@@ -19,15 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelflow.llm.shared import chosen, map_batches, texts_as_str, written
+from parcelflow.llm.shared import chosen, map_batches, texts_as_str
 from parcelflow.llm.tokens import blocks
 
-#: Bounds of the sample: examples of each label, further documents for the curve, and terms.
-EXAMPLES, CALIBRATION, TERMS = 1_500, 2_000, 20_000
-#: Least chi-squared value of a term (Yates's correction; one degree of freedom, one in 10,000 by chance), and examples with it.
-LEAST_CHI, LEAST_EXAMPLES = 15.13, 6
+#: Bounds of the sample: examples of each label, and further documents of either.
+EXAMPLES, CALIBRATION = 1_500, 2_000
+#: Parts of the sample, each voted on by the others, for the curve.
+PARTS = 4
 NEAREST = 8
-BLOCK = 64
+BLOCK, FIRST_BLOCKS = 64, 4
 WORD = re.compile(r"\w+")
 
 
@@ -85,18 +86,19 @@ class BlockMaxIndex:
         blocks_left = np.argsort(-bounds, kind="stable")
         blocks_left = blocks_left[bounds[blocks_left] > 0]
         places, cosines = np.array([], np.int64), np.array([])
-        take = 1
-        while len(blocks_left):
-            if len(cosines) >= k and bounds[blocks_left[0]] + 1e-9 < cosines[k - 1]:
+        # the blocks of the largest bounds, then all others that can hold a nearer example
+        for chosen_blocks in (blocks_left[:FIRST_BLOCKS], blocks_left[FIRST_BLOCKS:]):
+            if len(cosines) >= k:
+                chosen_blocks = chosen_blocks[bounds[chosen_blocks] + 1e-9 >= cosines[k - 1]]
+            if not len(chosen_blocks):
                 break
             opened = np.zeros(len(bounds), bool)
-            opened[blocks_left[:take]] = True
-            blocks_left, take = blocks_left[take:], 2 * take
+            opened[chosen_blocks] = True
             here = opened[self.entry_block[entries]]
             own, factor = entries[here], given[here]
-            postings = stretches(self.entry_first[own], self.entry_first[own + 1])
-            factor = np.repeat(factor, self.entry_first[own + 1] - self.entry_first[own])
-            sums = np.bincount(self.example[postings], factor * self.weight[postings])
+            firsts, stops = self.entry_first[own], self.entry_first[own + 1]
+            postings = stretches(firsts, stops)
+            sums = np.bincount(self.example[postings], np.repeat(factor, stops - firsts) * self.weight[postings])
             hit = np.flatnonzero(sums > 0)
             places, cosines = np.concatenate([places, hit]), np.concatenate([cosines, sums[hit]])
             best = np.lexsort((places, -cosines))[:k]
@@ -113,14 +115,15 @@ def stretches(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     terms: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray  # of a word that occurs once
     index: BlockMaxIndex
     prior: float  # share of label 1 among labelled documents
     slope: float = 0.0
     offset: float = 0.0
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        return unit_vector({self.terms[w]: n for w, n in counts.items() if w in self.terms}, self.idf)
+        known = self.terms
+        return unit_vector({known[w]: n for w, n in counts.items() if w in known}, self.weights)
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray]:
         """Share of label 1 among the neighbours by cosine, drawn to the prior by a tenth of a neighbour."""
@@ -131,24 +134,46 @@ class Model:
     def probability(self, share: float) -> float:
         return 1 / (1 + np.exp(-(self.slope * share + self.offset)))
 
+    def judge(self, counts: Counter, k: int) -> tuple[float, np.ndarray, np.ndarray]:
+        """Score, and the neighbours' places and cosines; a copy of examples, word by word, has their mean label."""
+        share, places, cosines = self.vote(*self.vector(counts), k)
+        same = places[cosines >= 1 - 1e-9]
+        if len(same) and all(w in self.terms for w in counts):
+            return float(self.index.labels[same].mean()), places, cosines
+        return self.probability(share), places, cosines
+
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their weights (1 + ln count) * idf, of length 1."""
-    terms = np.array(sorted(counts), np.int64)
-    weights = (1 + np.log(np.array([counts[t] for t in terms.tolist()], np.float64))) * idf[terms]
+    """Terms in order and their weights (1 + ln count) * idf (or another weight of the term), of length 1."""
+    terms = np.fromiter(counts, np.int64, len(counts))
+    numbers = np.fromiter(counts.values(), np.float64, len(counts))
+    order = np.argsort(terms)
+    terms = terms[order]
+    weights = (1 + np.log(numbers[order])) * idf[terms]
     return terms, weights / np.sqrt(weights @ weights) if len(terms) else weights
 
 
-def fit_curve(shares: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+def class_weights(vectors: list[dict[int, int]], labels: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """idf * (1 + chi-squared) of every term, by the examples of each label that have it (Yates's correction)."""
+    term = np.concatenate([np.array([], np.int64), *[np.fromiter(v, np.int64, len(v)) for v in vectors]]).astype(np.int64)
+    toxic = np.repeat(labels, [len(v) for v in vectors])
+    a = np.bincount(term, toxic, minlength=len(idf))
+    b = np.bincount(term, 1 - toxic, minlength=len(idf))
+    n, n1, n0 = len(labels), labels.sum(), len(labels) - labels.sum()
+    off = np.maximum(np.abs(a * (n0 - b) - b * (n1 - a)) - n / 2, 0)
+    return idf * (1 + n * off**2 / np.maximum((a + b) * (n - a - b) * n1 * n0, 1))
+
+
+def fit_curve(shares: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Slope (not negative) and offset of a logistic curve, with the targets of the classes drawn in (Platt)."""
-    n1, n0 = labels.sum(), len(labels) - labels.sum()
+    n1, n0 = weights @ labels, weights @ (1 - labels)
     target = np.where(labels > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.column_stack([shares, np.ones(len(shares))])
     fitted = np.array([0.0, np.log((n1 + 1) / (n0 + 1))])
     for _ in range(100):
         p = 1 / (1 + np.exp(-x @ fitted))
-        gradient = x.T @ (p - target) + 1e-3 * fitted * [1, 0]
-        curvature = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 1e-9])
+        gradient = x.T @ (weights * (p - target)) + 1e-3 * fitted * [1, 0]
+        curvature = (x * (weights * p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 1e-9])
         step = np.linalg.solve(curvature, gradient)
         fitted -= step / max(1.0, np.abs(step).max() / 2)
         if np.abs(step).max() < 1e-8:
@@ -191,8 +216,30 @@ def sample(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> Data
     return counted.withColumn("_place", place).filter("_place = 1").drop("_place", "longest")
 
 
+def document_frequencies(docs: DataFrame, terms: dict[str, int], text: str) -> tuple[int, np.ndarray]:
+    """The number of all documents, and of those with each term."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rows = shared.value, 0
+        found = np.zeros(len(known), np.int64)
+        for block in blocks(batches, 0):
+            rows += block.num_rows
+            for t in texts_as_str(block.column(0)):
+                found[[known[w] for w in set(WORD.findall(t.lower())) if w in known]] += 1
+        seen = np.flatnonzero(found)
+        numbers = [np.append(seen, -1), np.append(found[seen], rows)]  # term -1: documents
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()) for n in numbers], ["term", "n"])
+
+    counted = map_batches(docs.select(F.col(text).cast("string").alias("_text")), work, "term bigint, n bigint")
+    sums = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(len(terms) + 1, np.int64)
+    total[sums["term"].to_numpy()] = sums["n"].to_numpy()
+    return int(total[-1]), total[:-1]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> Model:
-    """A model from labelled documents: at most EXAMPLES of each label, CALIBRATION others, TERMS terms.
+    """A model from labelled documents: at most EXAMPLES of each label and CALIBRATION others, with all their words.
 
     ``labels`` has doc_id and a 0/1 column; rows without either are left out, a document labelled both
     ways counts as 1. Without examples of both labels there are no terms, and every score is the prior
@@ -204,30 +251,36 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     )
     share = labelled.agg(F.avg("label").alias("prior")).first()["prior"]
     prior = 0.5 if share is None else float(share)
-    rows = written(sample(docs, labelled, doc_id, text), "toxicity-sample")
-    sizes = {r["label"]: r["count"] for r in rows.filter("role = 0").groupBy("label").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    found = (
-        rows.filter("role = 0").select("label", F.explode("terms").alias("term")).groupBy("term")
-        .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
-        .selectExpr("term", "a + b AS df", f"""
-            ({n1 + n0} * power(greatest(abs(a * ({n0} - b) - b * ({n1} - a)) - {n1 + n0} / 2, 0), 2))
-            / greatest((a + b) * ({n1 + n0} - a - b) * CAST({n1} AS DOUBLE) * {n0}, 1) AS chi""")
-        .filter((F.col("chi") >= LEAST_CHI) & (F.col("df") >= LEAST_EXAMPLES)).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    )
-    terms = {r["term"]: i for i, r in enumerate(found)}
-    idf = np.array([np.log((1 + n1 + n0) / (1 + r["df"])) + 1 for r in found])
-    kept = F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(F.lit(list(terms) or [""]), x["terms"]))
-    vectors = [(r, unit_vector({terms[x["terms"]]: x["counts"] for x in r["kept"] if x["terms"] in terms}, idf))
-               for r in rows.select("_id", "label", "role", kept.alias("kept")).collect()]
-    examples = [(r, v) for r, v in vectors if r["role"] == 0]
-    index = BlockMaxIndex.build([r["_id"] for r, _ in examples], [r["label"] for r, _ in examples], [v for _, v in examples], len(terms))
-    model = Model(terms, idf, index, prior)
-    curve = [(model.vote(*v, NEAREST)[0], r["label"]) for r, v in vectors if r["role"] == 1]
-    if terms:
-        model.slope, model.offset = fit_curve(np.array([s for s, _ in curve]), np.array([y for _, y in curve], np.float64))
-    else:
-        model.offset = float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
+    rows = sorted(sample(docs, labelled, doc_id, text).collect(), key=lambda r: (r["_id"], r["role"]))
+    known = np.array([r["label"] for r in rows], np.float64)
+    if not 0 < known.sum() < len(known):
+        nothing = BlockMaxIndex.build([], [], [], 0)
+        return Model({}, np.array([]), nothing, prior, offset=float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
+    terms = {w: i for i, w in enumerate(sorted({w for r in rows for w in r["terms"]}))}
+    vectors = [{terms[w]: n for w, n in zip(r["terms"], r["counts"])} for r in rows]
+    number, df = document_frequencies(docs, terms, text)
+    idf = np.log((1 + number) / (1 + df)) + 1
+    ids = [r["_id"] for r in rows]
+
+    def of(own: np.ndarray) -> Model:
+        weights = class_weights([vectors[i] for i in own], known[own], idf)
+        units = [unit_vector(vectors[i], weights) for i in own]
+        index = BlockMaxIndex.build([ids[i] for i in own], [int(known[i]) for i in own], units, len(terms))
+        return Model(terms, weights, index, prior)
+
+    # the parts hold each label in equal numbers
+    shuffled = np.random.default_rng(7).permutation(len(rows))
+    part = np.empty(len(rows), np.int64)
+    part[shuffled[np.argsort(known[shuffled], kind="stable")]] = np.arange(len(rows)) % PARTS
+    shares = np.empty(len(rows))
+    for p in range(PARTS):
+        others = of(np.flatnonzero(part != p))
+        for i in np.flatnonzero(part == p):
+            shares[i] = others.vote(*unit_vector(vectors[i], others.weights), NEAREST)[0]
+    model = of(np.arange(len(rows)))
+    # the sample's labels count as in all labels
+    weights = np.where(known > 0, prior / known.mean(), (1 - prior) / (1 - known.mean()))
+    model.slope, model.offset = fit_curve(shares, known, weights)
     return model
 
 
@@ -250,8 +303,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
         for block in blocks(batches, len(inner)):
             scores, evidence = [], []
             for t in texts_as_str(block.column(len(inner))):
-                share, places, cosines = own.vote(*own.vector(term_counts(t)), k)
-                scores.append(own.probability(share))
+                value, places, cosines = own.judge(term_counts(t), k)
+                scores.append(value)
                 evidence.append([
                     {"doc_id": own.index.ids[p], "cosine": c, "label": int(own.index.labels[p])}
                     for p, c in zip(places.tolist(), cosines.tolist())

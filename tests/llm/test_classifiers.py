@@ -6,8 +6,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from parcelflow.llm import quality, toxicity
 
+SMALL = "/root/testdata/sf0.001"
 CORNERS = [(900, None), (901, ""), (902, "   \n"), (903, "!!! ... ???"), (904, "x" * 200_000), (905, "fine words here " * 20_000)]
 
 
@@ -78,6 +80,22 @@ def test_toxic_documents_are_found(spark):
             assert {e["label"] for e in r["evidence"]} <= {0, 1} and r["evidence"][0]["cosine"] <= 1 + 1e-9
 
 
+def test_labelled_toxic_documents_and_their_copies_are_rejected(spark):
+    docs = corpus_pipeline.table(spark, SMALL, "documents")
+    labels = corpus_pipeline.table(spark, SMALL, "labels").filter(corpus_pipeline.fold("doc_id", 5) != 0)
+    toxic = {r["doc_id"] for r in labels.filter("toxic = 1").join(docs, "doc_id", "left_semi").collect()}
+    copies = docs.filter(docs["doc_id"].isin(toxic)).withColumn("doc_id", docs["doc_id"] + 1_000_000)
+    kept = {r["doc_id"] for r in corpus_pipeline.without_toxic(spark, docs.unionByName(copies), SMALL).collect()}
+    assert toxic and not kept & (toxic | {d + 1_000_000 for d in toxic})
+
+
+def test_every_word_of_the_examples_is_a_term(spark):
+    docs, labels = corpus(insulted, 4)
+    documents, labelled = frames(spark, docs, labels, "toxic")
+    model = toxicity.train(documents, labelled)
+    assert set(model.terms) == {w for _, t in docs for w in toxicity.term_counts(t)}
+
+
 def test_gradients_are_those_of_the_loss():
     draw = np.random.default_rng(3)
     features, bounds = draw.normal(size=(7, quality.FEATURES)), np.array([0, 2, 3, 7])
