@@ -9,6 +9,8 @@ all documents are scored where they lie.
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,11 +19,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from parcelflow.llm.shared import chosen, map_batches
+from parcelflow.llm.shared import chosen, map_batches, written
 from parcelflow.llm.tokens import blocks
 
-#: Words of a passage, and most passages of a document: in longer documents passages are longer.
-PASSAGE_WORDS, MOST_PASSAGES = 64, 64
+#: Words of a passage.
+PASSAGE_WORDS = 64
+#: Default of ``encode`` alone, which training and scoring never take: most passages of a text, longer in longer texts.
+MOST_PASSAGES = 64
+#: Bytes of a slice by which long texts are encoded, and passages by which a group of documents is learnt.
+SLICE_BYTES, SLICE_PASSAGES = 4_000_000, 50_000
 #: Bound of the sample: labelled documents of each class.
 EXAMPLES = 1_500
 HIDDEN, ATTENTION = 24, 16
@@ -37,14 +43,16 @@ MARKS = np.unique(BYTE_CLASS)  # classes that occur
 FEATURES = len(MARKS) + 6
 
 
-def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: pa.Array, most: int | None = MOST_PASSAGES) -> tuple[np.ndarray, np.ndarray]:
     """Features of the passages of each text, and where those of each text begin and end.
 
+    Without ``most`` every passage has PASSAGE_WORDS words, the last one of a text fewer.
+
     Per passage: square roots of the shares of the byte classes, mean and spread of word lengths, shares of
     distinct words, of the most frequent word, and of words without letters, and the logarithm of their
     number. A text without words is one passage of zeros.
     """
-    stored = pc.fill_null(texts, "").cast(pa.large_binary())
+    stored = pc.fill_null(texts.cast(pa.large_binary()), b"")
     sizes = pc.binary_length(stored).to_numpy(zero_copy_only=False).astype(np.int64)
     data = np.frombuffer(b" ".join(stored.to_pylist()) + b" ", np.uint8)
     bounds = np.cumsum(sizes + 1)  # the space after each text
@@ -53,7 +61,7 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts = dark[np.diff(dark, prepend=-2) > 1]
     word_ends = np.searchsorted(starts, bounds)
     words = np.diff(word_ends, prepend=0)
-    length = np.maximum(PASSAGE_WORDS, -(-words // MOST_PASSAGES))
+    length = np.maximum(PASSAGE_WORDS, -(-words // most) if most else words * 0)
     passages = np.maximum(1, -(-words // length))
     ends = np.cumsum(passages)
     text = np.repeat(np.arange(len(words)), words)
@@ -89,6 +97,37 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.column_stack([shares, *rest]).astype(np.float32), np.concatenate([[0], ends])
 
 
+#: PASSAGE_WORDS words, each with the white space after it.
+PASSAGE = re.compile(rb"[ \t-\r]*(?:[^ \t-\r]+[ \t-\r]+){%d}" % PASSAGE_WORDS)
+
+
+def slices(text: bytes) -> Iterator[bytes]:
+    """A text in parts of whole passages, of SLICE_BYTES or little more unless a passage is longer."""
+    at = start = 0
+    while len(text) - start > SLICE_BYTES and (found := PASSAGE.match(text, at)):
+        at = found.end()
+        if at - start >= SLICE_BYTES:
+            yield text[start:at]
+            start = at
+    if start < len(text) or not text:
+        yield text[start:]
+
+
+def encode_slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Features of the passages of all texts, their bounds, and the text of each bag: long texts come in several bags."""
+    held, place, size = [], [], 0
+    for i, text in enumerate(pc.fill_null(texts, "").cast(pa.large_binary())):
+        for part in slices(text.as_py()):
+            if held and size + len(part) > 2 * SLICE_BYTES:
+                yield *encode(pa.array(held, pa.large_binary()), None), np.array(place)
+                held, place, size = [], [], 0
+            held.append(part)
+            place.append(i)
+            size += len(part)
+    if held:
+        yield *encode(pa.array(held, pa.large_binary()), None), np.array(place)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -108,25 +147,59 @@ class Network:
         weights = {name: draw.normal(0, shape[0] ** -0.5, shape) for name, shape in shapes.items()}
         return cls(mean, scale, weights | {"embed_bias": np.zeros(HIDDEN), "out_bias": np.zeros(1)})
 
-    def forward(self, features: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    def forward(self, features: np.ndarray, bounds: np.ndarray | None) -> dict[str, np.ndarray]:
         w = self.weights
         x = (features - self.mean) / self.scale
         hidden = np.tanh(x @ w["embed"] + w["embed_bias"])
         tanh, gate = np.tanh(hidden @ w["tanh"]), sigmoid(hidden @ w["gate"])
         raw = (tanh * gate) @ w["attend"]
+        state = {"x": x, "hidden": hidden, "tanh": tanh, "gate": gate, "raw": raw}
+        return state if bounds is None else state | self.pooled(raw, hidden, bounds)
+
+    def pooled(self, raw: np.ndarray, hidden: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+        w = self.weights
         bag = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         e = np.exp(raw - np.maximum.reduceat(raw, bounds[:-1])[bag])
         attention = e / np.add.reduceat(e, bounds[:-1])[bag]
         pooled = np.add.reduceat(attention[:, None] * hidden, bounds[:-1])
         score = sigmoid(pooled @ w["out"] + w["out_bias"])
-        return {"x": x, "hidden": hidden, "tanh": tanh, "gate": gate, "bag": bag, "attention": attention, "pooled": pooled, "score": score}
+        return {"bag": bag, "attention": attention, "pooled": pooled, "score": score}
+
+    def score(self, parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pooled embeddings and scores of n documents, and the raw attention and document of every passage.
+
+        Documents come in parts: bags of passages and the document of each bag. Of each document only the
+        largest raw attention, the sum of its weights and the weighted embedding are held, so that no
+        number of passages is too large.
+        """
+        top, total, summed = np.full(n, -np.inf), np.zeros(n), np.zeros((n, HIDDEN))
+        raws, places = [], []
+        for features, bounds, document in parts:
+            state = self.forward(features, None)
+            place = np.repeat(document, np.diff(bounds))
+            before = top.copy()
+            np.maximum.at(top, place, state["raw"])
+            seen = before > -np.inf
+            shrink = np.ones(n)
+            shrink[seen] = np.exp(before[seen] - top[seen])
+            e = np.exp(state["raw"] - top[place])
+            total = total * shrink + np.bincount(place, e, minlength=n)
+            summed *= shrink[:, None]
+            starts = np.flatnonzero(np.diff(place, prepend=-1))
+            np.add.at(summed, place[starts], np.add.reduceat(e[:, None] * state["hidden"], starts))
+            raws.append(state["raw"])
+            places.append(place)
+        pooled = summed / total[:, None]
+        raw, place = np.concatenate([[], *raws]), np.concatenate([np.array([], np.int64), *places])
+        attention = np.exp(raw - top[place]) / total[place]
+        return pooled, sigmoid(pooled @ self.weights["out"] + self.weights["out_bias"]), attention, place
 
     def gradients(self, s: dict[str, np.ndarray], error: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the loss; ``error`` is its derivative by each document's output before the sigmoid."""
         w = self.weights
         to_pooled = error[:, None] * w["out"]
         to_attention = (s["hidden"] * to_pooled[s["bag"]]).sum(axis=1)
-        centred = to_attention - np.bincount(s["bag"], s["attention"] * to_attention)[s["bag"]]
+        centred = to_attention - (s["pooled"] * to_pooled).sum(axis=1)[s["bag"]]
         to_raw = s["attention"] * centred
         to_tanh = to_raw[:, None] * w["attend"] * s["gate"] * (1 - s["tanh"] ** 2)
         to_gate = to_raw[:, None] * w["attend"] * s["tanh"] * s["gate"] * (1 - s["gate"])
@@ -138,6 +211,24 @@ class Network:
             "out_bias": np.array([error.sum()]),
         }
 
+    def learnt(self, features: np.ndarray, bounds: np.ndarray, own: np.ndarray, labels: np.ndarray, shares: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradients of a group of documents, by slices of SLICE_PASSAGES when it has more passages."""
+        sizes = bounds[own + 1] - bounds[own]
+        rows = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in own])
+        if len(rows) <= SLICE_PASSAGES:
+            state = self.forward(features[rows], np.concatenate([[0], np.cumsum(sizes)]))
+            return self.gradients(state, (state["score"] - labels) * shares)
+        bag = np.repeat(np.arange(len(own)), sizes)
+        cuts = [slice(at, at + SLICE_PASSAGES) for at in range(0, len(rows), SLICE_PASSAGES)]
+        pooled, score, attention, _ = self.score(((features[rows[c]], np.arange(len(bag[c]) + 1), bag[c]) for c in cuts), len(own))
+        error, total = (score - labels) * shares, {}
+        for c in cuts:
+            state = self.forward(features[rows[c]], None) | {"bag": bag[c], "attention": attention[c], "pooled": pooled}
+            for name, gradient in self.gradients(state, error).items():
+                # those of the last layer come from the whole documents each time
+                total[name] = gradient + (0 if name in ("out", "out_bias") else total.get(name, 0))
+        return total
+
     def fit(self, features: np.ndarray, bounds: np.ndarray, labels: np.ndarray, importance: np.ndarray, seed: int = 7) -> None:
         """Adam on the weighted cross-entropy, over shuffled groups of BAGS documents."""
         draw = np.random.default_rng(seed)
@@ -147,12 +238,9 @@ class Network:
             order = draw.permutation(len(labels))
             for at in range(0, len(order), BAGS):
                 own = order[at : at + BAGS]
-                sizes = bounds[own + 1] - bounds[own]
-                rows = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in own])
-                state = self.forward(features[rows], np.concatenate([[0], np.cumsum(sizes)]))
-                error = (state["score"] - labels[own]) * importance[own] / importance[own].sum()
+                gradients = self.learnt(features, bounds, own, labels[own], importance[own] / importance[own].sum())
                 steps += 1
-                for name, gradient in self.gradients(state, error).items():
+                for name, gradient in gradients.items():
                     gradient = gradient + DECAY * self.weights[name]
                     m, v = moments[name]
                     m += 0.1 * (gradient - m)
@@ -177,21 +265,37 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            features, bounds = encode(batch.column(1))
-            bags = [features[a:b].astype("<f4").tobytes() for a, b in zip(bounds, bounds[1:])]
+            bags = [bytearray() for _ in range(batch.num_rows)]
+            for features, bounds, document in encode_slices(batch.column(1)):
+                for i, a, b in zip(document, bounds, bounds[1:]):
+                    bags[i] += features[a:b].astype("<f4").tobytes()
+            bags = [bytes(b) for b in bags]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], ["_id", "label", "bag"])
 
     kind = dict(docs.dtypes)[doc_id]
     rows = map_batches(texts.select("_id", "_text", "label"), work, f"_id {kind}, label int, bag binary")
-    rows = sorted(rows.collect(), key=lambda r: (r["_id"], r["bag"]))
-    known = np.array([r["label"] for r in rows], np.float64)
-    if not 0 < known.sum() < len(known):
-        total = sum(sizes.values())
-        return sizes.get(1, 0) / total if total else 0.5
-    bags = [np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES) for r in rows]
-    features = np.concatenate(bags).astype(np.float64)
-    bounds = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
-    network = Network.fresh(features.mean(axis=0), features.std(axis=0) + 1e-2)
+    # the driver holds the passages in a file, and in memory those of a group
+    with tempfile.TemporaryFile() as file:
+        known, lengths = [], []
+        for r in written(rows, "quality-sample").orderBy("_id", "bag").toLocalIterator():
+            known.append(float(r["label"]))
+            lengths.append(len(r["bag"]) // (4 * FEATURES))
+            file.write(r["bag"])
+        file.flush()
+        known = np.array(known)
+        if not 0 < known.sum() < len(known):
+            total = sum(sizes.values())
+            return sizes.get(1, 0) / total if total else 0.5
+        features = np.memmap(file, "<f4", "r", shape=(sum(lengths), FEATURES))
+        return fitted(features, np.concatenate([[0], np.cumsum(lengths)]), known, sizes)
+
+
+def fitted(features: np.ndarray, bounds: np.ndarray, known: np.ndarray, sizes: dict[int, int]) -> Network:
+    """A network from the passages of labelled documents; ``sizes`` has the number of all labels of each class."""
+    parts = [features[at : at + SLICE_PASSAGES] for at in range(0, len(features), SLICE_PASSAGES)]
+    mean = sum(p.sum(axis=0, dtype=np.float64) for p in parts) / len(features)
+    variance = sum(((p - mean) ** 2).sum(axis=0) for p in parts) / len(features)
+    network = Network.fresh(mean, np.sqrt(variance) + 1e-2)
     share = np.where(known > 0, sizes[1] / known.sum(), sizes[0] / (len(known) - known.sum()))
     network.fit(features, bounds, known, share / share.mean())
     return network
@@ -210,12 +314,16 @@ def score(docs: DataFrame, model: Network | float, text: str = "text", keep: lis
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, len(inner)):
-            features, bounds = encode(block.column(len(inner)))
+            parts = encode_slices(block.column(len(inner)))
             if isinstance(model, Network):
-                state = model.forward(features, bounds)
-                scores, attention = state["score"], state["attention"]
+                _, scores, attention, place = model.score(parts, block.num_rows)
+                bounds = np.searchsorted(place, np.arange(block.num_rows + 1))
             else:
-                scores, attention = np.full(block.num_rows, model), np.repeat(1 / np.diff(bounds), np.diff(bounds))
+                passages = np.zeros(block.num_rows, np.int64)
+                for _, within, document in parts:
+                    np.add.at(passages, document, np.diff(within))
+                bounds = np.concatenate([[0], np.cumsum(passages)])
+                scores, attention = np.full(block.num_rows, model), np.repeat(1 / passages, passages)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(attention.astype(np.float32)))
             yield pa.RecordBatch.from_arrays([*block.columns[: len(inner)], pa.array(scores), lists], [*inner, "_score", "_attention"])
 

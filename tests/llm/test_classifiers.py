@@ -130,6 +130,34 @@ def test_passages_cover_the_whole_text():
     assert np.allclose(together[-1], features[0])
 
 
+def test_long_texts_have_passages_of_one_length(monkeypatch):
+    draw = random.Random(5)
+    texts = ["", None, " \n "] + [" ".join(draw.choice(["ab", "C!", "foo12", "é"]) for _ in range(n)) for n in (1, 64, 65, 20_000)]
+    column = pa.array(texts, pa.string())
+    network = quality.Network.fresh(np.zeros(quality.FEATURES), np.ones(quality.FEATURES))
+    features, bounds = quality.encode(column, None)
+    expected = network.forward(features, bounds)
+    assert np.diff(bounds).tolist() == [1, 1, 1, 1, 1, 2, 313]
+    own, labels = np.arange(7), np.array([0, 1, 0, 1, 0, 1, 0.0])
+    whole = network.learnt(features, bounds, own, labels, np.full(7, 1 / 7))
+    monkeypatch.setattr(quality, "SLICE_BYTES", 2_000)
+    monkeypatch.setattr(quality, "SLICE_PASSAGES", 50)
+    parts = list(quality.encode_slices(column))
+    _, scores, attention, place = network.score(parts, len(texts))
+    assert len(parts) > 10 and np.array_equal(np.concatenate([p[0] for p in parts]), features)
+    assert np.allclose(scores, expected["score"]) and np.allclose(attention, expected["attention"])
+    assert np.array_equal(np.searchsorted(place, np.arange(len(texts) + 1)), bounds)
+    sliced = network.learnt(features, bounds, own, labels, np.full(7, 1 / 7))
+    assert all(np.allclose(sliced[name], gradient) for name, gradient in whole.items())
+
+
+@pytest.mark.parametrize("trained", [True, False])
+def test_every_passage_of_a_long_document_is_weighed(spark, trained):
+    documents, _ = frames(spark, [(1, "fine words here " * 2_000)], [], "quality")
+    model = quality.Network.fresh(np.zeros(quality.FEATURES), np.ones(quality.FEATURES)) if trained else 0.5
+    assert len(quality.score(documents, model).first()["attention"]) == 94
+
+
 def test_garbled_documents_are_found(spark):
     docs, labels = corpus(garbled, 2)
     docs += CORNERS + [(None, docs[0][1]), (1, docs[1][1])]
