@@ -11,7 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelflow.sources.layers import scratch_folder
 
@@ -74,6 +74,22 @@ def texts_as_str(column: pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
 
+def labelled_texts(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Labelled documents as _id, label and _hash, one row for each id with the text of the least hash."""
+    hashed = docs.select(F.col(doc_id).alias("_id"), text_hash(text)).groupBy("_id").agg(F.min("_hash").alias("_hash"))
+    return labelled.join(hashed, "_id").select("_id", "label", "_hash")
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_hash")
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of a bounded sample of ``labelled_texts`` with _text, one row each, however often documents repeat."""
+    texts = docs.select(F.col(doc_id).alias("_id"), text_hash(text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    return texts.join(F.broadcast(sample), ["_id", "_hash"]).groupBy(*sample.columns).agg(F.min("_text").alias("_text")).drop("_hash")
+
+
 def chosen(table: DataFrame, limit: int, *order: str) -> DataFrame:
     """At most ``limit`` rows, by a hash of the given columns: the same ones on every run."""
     return table.orderBy(F.xxhash64(*order), *order).limit(limit)

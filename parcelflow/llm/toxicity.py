@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelflow.llm.shared import chosen, map_batches, texts_as_str
+from parcelflow.llm.shared import chosen, labelled_texts, map_batches, sampled_texts, texts_as_str
 from parcelflow.llm.tokens import blocks
 
 #: Bounds of the sample: examples of each label, and further documents of either.
@@ -184,14 +184,15 @@ def fit_curve(shares: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
 def sample(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Term counts of the sampled documents: _id, label, role (0 example, 1 curve), terms, counts.
 
-    Copies would pass off the words of one document as those of many: of documents with the same three
-    longest words in a role, the one with the smallest id stays.
+    Copies would pass off the words of one document as those of many: of equal texts with equal labels the
+    one with the smallest id can be drawn, and of a repeated id one text.
     """
+    labelled = labelled_texts(docs, labelled, doc_id, text).groupBy("label", "_hash").agg(F.min("_id").alias("_id"))
     spare = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4)) == 0  # a quarter of the labelled documents is left for the curve
     examples = [chosen(labelled.filter(~spare & (F.col("label") == y)), EXAMPLES, "_id").withColumn("role", F.lit(0)) for y in (0, 1)]
     curve = chosen(labelled.filter(spare), CALIBRATION, "_id").withColumn("role", F.lit(1))
     ids = examples[0].unionByName(examples[1]).unionByName(curve)
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(ids), "_id")
+    texts = sampled_texts(docs, ids, doc_id, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,19 +202,16 @@ def sample(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> Data
                     *batch.columns[:3],
                     pa.array([list(c) for c in counted], pa.list_(pa.string())),
                     pa.array([list(c.values()) for c in counted], pa.list_(pa.int64())),
-                    pa.array([" ".join(sorted(c, key=lambda w: (-len(w), w))[:3]) for c in counted], pa.string()),
                 ],
-                ["_id", "label", "role", "terms", "counts", "longest"],
+                ["_id", "label", "role", "terms", "counts"],
             )
 
     kind = dict(docs.dtypes)[doc_id]
-    counted = map_batches(
+    return map_batches(
         texts.select("_id", "label", "role", "_text"),
         work,
-        f"_id {kind}, label int, role int, terms array<string>, counts array<bigint>, longest string",
+        f"_id {kind}, label int, role int, terms array<string>, counts array<bigint>",
     )
-    place = F.expr("row_number() OVER (PARTITION BY role, longest ORDER BY _id)")
-    return counted.withColumn("_place", place).filter("_place = 1").drop("_place", "longest")
 
 
 def document_frequencies(docs: DataFrame, terms: dict[str, int], text: str) -> tuple[int, np.ndarray]:

@@ -96,6 +96,15 @@ def test_every_word_of_the_examples_is_a_term(spark):
     assert set(model.terms) == {w for _, t in docs for w in toxicity.term_counts(t)}
 
 
+def test_documents_that_share_long_words_stay_examples(spark):
+    footer = " supercalifragilistic extraordinarily unmistakeable"
+    docs = [(i, f"word{i} here{footer}") for i in range(40)] + [(40, "one more"), (41, "one more"), (42, "one more"), (42, "other words"), (43, None)]
+    documents, labelled = frames(spark, docs, [(i, i % 2) for i in range(40)] + [(40, 1), (41, 1), (42, 0), (43, 0)], "toxic")
+    rows = toxicity.sample(documents, labelled.toDF("_id", "label"), "doc_id", "text").collect()
+    ids = sorted(r["_id"] for r in rows)
+    assert ids == [*range(41), 42, 43]
+
+
 def test_gradients_are_those_of_the_loss():
     draw = np.random.default_rng(3)
     features, bounds = draw.normal(size=(7, quality.FEATURES)), np.array([0, 2, 3, 7])
