@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from parcelflow.llm.shared import chosen, labelled_texts, map_batches, sampled_texts, texts_as_str
@@ -145,18 +146,20 @@ class Model:
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms in order and their weights (1 + ln count) * idf (or another weight of the term), of length 1."""
-    terms = np.fromiter(counts, np.int64, len(counts))
-    numbers = np.fromiter(counts.values(), np.float64, len(counts))
+    return unit(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts)), idf)
+
+
+def unit(terms: np.ndarray, numbers: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(terms)
     terms = terms[order]
     weights = (1 + np.log(numbers[order])) * idf[terms]
     return terms, weights / np.sqrt(weights @ weights) if len(terms) else weights
 
 
-def class_weights(vectors: list[dict[int, int]], labels: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def class_weights(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """idf * (1 + chi-squared) of every term, by the examples of each label that have it (Yates's correction)."""
-    term = np.concatenate([np.array([], np.int64), *[np.fromiter(v, np.int64, len(v)) for v in vectors]]).astype(np.int64)
-    toxic = np.repeat(labels, [len(v) for v in vectors])
+    term = np.concatenate([np.array([], np.int64), *[v[0] for v in vectors]]).astype(np.int64)
+    toxic = np.repeat(labels, [len(v[0]) for v in vectors])
     a = np.bincount(term, toxic, minlength=len(idf))
     b = np.bincount(term, 1 - toxic, minlength=len(idf))
     n, n1, n0 = len(labels), labels.sum(), len(labels) - labels.sum()
@@ -249,33 +252,38 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     )
     share = labelled.agg(F.avg("label").alias("prior")).first()["prior"]
     prior = 0.5 if share is None else float(share)
-    rows = sorted(sample(docs, labelled, doc_id, text).collect(), key=lambda r: (r["_id"], r["role"]))
-    known = np.array([r["label"] for r in rows], np.float64)
+    rows = sample(docs, labelled, doc_id, text).toArrow().sort_by([("_id", "ascending"), ("role", "ascending")])
+    ids = rows["_id"].to_pylist()
+    known = rows["label"].to_numpy().astype(np.float64)
     if not 0 < known.sum() < len(known):
         nothing = BlockMaxIndex.build([], [], [], 0)
         return Model({}, np.array([]), nothing, prior, offset=float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
-    terms = {w: i for i, w in enumerate(sorted({w for r in rows for w in r["terms"]}))}
-    vectors = [{terms[w]: n for w, n in zip(r["terms"], r["counts"])} for r in rows]
+    ends = np.cumsum(pc.list_value_length(rows["terms"]).to_numpy())
+    coded = pa.chunked_array(pc.list_flatten(rows["terms"]).chunks, pa.string()).combine_chunks().dictionary_encode()
+    terms = {w: i for i, w in enumerate(coded.dictionary.to_pylist())}
+    numbers = pc.list_flatten(rows["counts"]).to_numpy()
+    vectors = list(zip(np.split(coded.indices.to_numpy().astype(np.int64), ends[:-1]), np.split(numbers, ends[:-1])))
+    del rows, coded, numbers
     number, df = document_frequencies(docs, terms, text)
     idf = np.log((1 + number) / (1 + df)) + 1
-    ids = [r["_id"] for r in rows]
 
     def of(own: np.ndarray) -> Model:
         weights = class_weights([vectors[i] for i in own], known[own], idf)
-        units = [unit_vector(vectors[i], weights) for i in own]
+        units = [unit(*vectors[i], weights) for i in own]
         index = BlockMaxIndex.build([ids[i] for i in own], [int(known[i]) for i in own], units, len(terms))
         return Model(terms, weights, index, prior)
 
     # the parts hold each label in equal numbers
-    shuffled = np.random.default_rng(7).permutation(len(rows))
-    part = np.empty(len(rows), np.int64)
-    part[shuffled[np.argsort(known[shuffled], kind="stable")]] = np.arange(len(rows)) % PARTS
-    shares = np.empty(len(rows))
+    shuffled = np.random.default_rng(7).permutation(len(ids))
+    part = np.empty(len(ids), np.int64)
+    part[shuffled[np.argsort(known[shuffled], kind="stable")]] = np.arange(len(ids)) % PARTS
+    shares = np.empty(len(ids))
     for p in range(PARTS):
         others = of(np.flatnonzero(part != p))
         for i in np.flatnonzero(part == p):
-            shares[i] = others.vote(*unit_vector(vectors[i], others.weights), NEAREST)[0]
-    model = of(np.arange(len(rows)))
+            shares[i] = others.vote(*unit(*vectors[i], others.weights), NEAREST)[0]
+        del others
+    model = of(np.arange(len(ids)))
     # the sample's labels count as in all labels
     weights = np.where(known > 0, prior / known.mean(), (1 - prior) / (1 - known.mean()))
     model.slope, model.offset = fit_curve(shares, known, weights)
