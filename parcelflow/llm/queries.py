@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelflow.llm import bpe, cross_polytope, line_dedup, packing, quality, rp_forest, secret_scan, simhash, token_files, toxicity
+from parcelflow.llm import (
+    bpe, cross_polytope, filter_audit, line_dedup, packing, quality, rp_forest, secret_scan, simhash, token_files, toxicity,
+)
 from parcelflow.sources.layers import scratch_folder
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -47,6 +49,49 @@ CROSS_POLYTOPE = """
     FROM vectors JOIN components ON vec_id = node"""
 
 
+# Whole tables in one statement: each document's failures, then each order as rows of its steps.
+FILTER_AUDIT = """
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents),
+    firsts AS (SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text),
+    marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+    flags AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+               || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+               || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+               || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+               || CASE WHEN t.doc_id > first_id THEN 'E' ELSE '' END AS f
+        FROM texts t JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+    masks AS (
+        SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM flags GROUP BY part, f),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    orders AS (
+        SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    gone AS (
+        SELECT part, filter_order, n, good, toxic, f,
+               [substr(filter_order, i, 1) FOR i IN range(1, 6) IF contains(f, substr(filter_order, i, 1))] AS failing
+        FROM masks, orders),
+    steps AS (SELECT unnest(range(1, 6)) AS step),
+    counted AS (
+        SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter,
+               sum(n) - coalesce(sum(n) FILTER (len(failing) > 0 AND strpos(filter_order, failing[1]) <= step), 0) AS kept,
+               coalesce(sum(n) FILTER (failing[1] = substr(filter_order, step, 1)), 0) AS removed,
+               coalesce(sum(n) FILTER (list_contains(failing, substr(filter_order, step, 1)) AND failing[1] <> substr(filter_order, step, 1)), 0) AS redundant,
+               coalesce(sum(n) FILTER (failing = [substr(filter_order, step, 1)]), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (failing[1] = substr(filter_order, step, 1)), 0) AS good_lost,
+               coalesce(sum(toxic) FILTER (failing[1] = substr(filter_order, step, 1)), 0) AS toxic_lost
+        FROM gone, steps GROUP BY part, filter_order, step)
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+    FROM counted"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -140,6 +185,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes under all their orders, for each language."""
+    flagged = filter_audit.flag_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), part="lang")
+    return filter_audit.audit_orders(flagged, "ABCDE", "part", ["good", "toxic"])
+
+
 def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -152,8 +203,9 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_token_files": op9_token_files,
         "op10_simhash": op10_simhash,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP, "op5_cross_polytope": CROSS_POLYTOPE}
+    return {"op2_line_dedup": LINE_DEDUP, "op5_cross_polytope": CROSS_POLYTOPE, "op11_filter_audit": FILTER_AUDIT}
