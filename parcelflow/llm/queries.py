@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelflow.llm import (
-    bpe, cross_polytope, filter_audit, line_dedup, packing, quality, rp_forest, secret_scan, simhash, token_files, toxicity,
+    bpe, cross_polytope, filter_audit, line_dedup, packing, quality, resampling, rp_forest, secret_scan, simhash, token_files,
+    toxicity,
 )
 from parcelflow.sources.layers import scratch_folder
 
@@ -92,6 +93,50 @@ FILTER_AUDIT = """
     FROM counted"""
 
 
+# crc32 of distinct words byte by byte, by the usual table of 256 remainders.
+RESAMPLING = """
+    WITH crc AS (
+        SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS remainders),
+    docs AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+        FROM documents),
+    doc_words AS (SELECT r, doc_id, unnest(words) AS word FROM docs),
+    target_words AS (
+        SELECT unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+        FROM benchmark),
+    words AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words)),
+    hashed AS (
+        SELECT word, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+            lambda c, b: xor(c >> 8, remainders[xor(c & 255, b) + 1]))) % 10000 AS bucket
+        FROM words, crc),
+    s AS (SELECT bucket, count(*) AS s FROM doc_words JOIN hashed USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS t FROM target_words JOIN hashed USING (word) GROUP BY bucket),
+    gains AS (
+        SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+            / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+        FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+    weighed AS (
+        SELECT d.r, count(w.word) AS n_features, coalesce(sum(gain), 0) AS weight, any_value(d.doc_id) AS doc_id
+        FROM docs d
+        LEFT JOIN doc_words w ON w.r = d.r LEFT JOIN hashed USING (word) LEFT JOIN gains USING (bucket) GROUP BY d.r),
+    scored AS (
+        SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight,
+               CAST(weight + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                   / 4294967296::DOUBLE))) AS BIGINT) AS score
+        FROM weighed),
+    ranked AS (
+        SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+            PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place
+        FROM scored)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN place <= 10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 THEN place END AS rank
+    FROM ranked"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -191,6 +236,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_orders(flagged, "ABCDE", "part", ["good", "toxic"])
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words resemble the benchmark's."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20)
+
+
 def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -204,8 +254,9 @@ def queries() -> dict:
         "op9_token_files": op9_token_files,
         "op10_simhash": op10_simhash,
         "op11_filter_audit": op11_filter_audit,
+        "op13_resampling": op13_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP, "op5_cross_polytope": CROSS_POLYTOPE, "op11_filter_audit": FILTER_AUDIT}
+    return {"op2_line_dedup": LINE_DEDUP, "op5_cross_polytope": CROSS_POLYTOPE, "op11_filter_audit": FILTER_AUDIT, "op13_resampling": RESAMPLING}
