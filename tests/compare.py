@@ -19,7 +19,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     """Columns by name, values as text, rows sorted."""
 
     def text(value) -> str:
-        if value is None or value is pd.NaT or value != value:
+        if value is None or value is pd.NaT or value is pd.NA or value != value:
             return "~"
         if isinstance(value, pd.Timestamp):
             return value.tz_localize(None).isoformat() if value.tzinfo else value.isoformat()
