@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelflow.llm import (
-    bpe, cross_polytope, filter_audit, line_dedup, packing, quality, resampling, rp_forest, secret_scan, simhash, token_files,
+    bpe, cross_polytope, filter_audit, line_dedup, packing, pii, quality, resampling, rp_forest, secret_scan, simhash, token_files,
     toxicity,
 )
 from parcelflow.sources.layers import scratch_folder
@@ -236,6 +236,22 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_orders(flagged, "ABCDE", "part", ["good", "toxic"])
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(docs), keep=["doc_id"]).select("row.doc_id", "base", "spans")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn by how much their words resemble the benchmark's."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20)
@@ -254,6 +270,7 @@ def queries() -> dict:
         "op9_token_files": op9_token_files,
         "op10_simhash": op10_simhash,
         "op11_filter_audit": op11_filter_audit,
+        "op12_pii": op12_pii,
         "op13_resampling": op13_resampling,
     }
 
