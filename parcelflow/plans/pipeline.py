@@ -12,10 +12,9 @@ from datetime import date, datetime, timezone
 from functools import partial
 from time import monotonic
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from parcelflow.model import CITY_NAMES, CONTRACTS, WATERMARK_START
+from parcelflow.model import CITY_NAMES, CONTRACTS
 from parcelflow.operators import audit, gate, summary, verdicts
 from parcelflow.operators.cleanse import clean_schema
 from parcelflow.operators.reports import quality_report
@@ -74,18 +73,13 @@ def read_gold(run: Run) -> dict[str, DataFrame]:
 
 def read_log(run: Run) -> DataFrame | None:
     """The ingest log of all batches; None before the first one."""
-    try:
-        return layers.read_history(run.spark, run.history("ingest_log"))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return ingest.read_log(run.spark, run.history("ingest_log"))
 
 
 def ingest_all(
     run: Run, sources: dict[str, DataFrame], full_reload: bool = False, upper: datetime | None = None
 ) -> dict[str, int]:
-    """Copy what changed in each source; log every table, then move the watermarks.
+    """Copy what changed in each source, then commit the log rows and watermarks of all tables at once.
 
     A batch that succeeded before is repeated over its own logged range and into its own folder, whatever batches came
     after it. ``upper`` saves looking for the newest change in each source.
@@ -93,34 +87,40 @@ def ingest_all(
     log = read_log(run)
     tables = list(sources)
     control = ingest.initial_control(run.spark, tables)
-    done: dict[str, Row] = {}
+    earlier: list[Row] = []
+    seen = ingest.last_sequence(log)
     if log is not None:
-        # one row per table
-        done = {r["table_name"]: r for r in ingest.succeeded(log).filter(F.col("batch_id") == run.batch_id).collect()}
+        # a few rows per table
+        earlier = ingest.collect_utc(log.filter(F.col("batch_id") == run.batch_id))
         control = ingest.advance(control, log.filter(F.col("batch_id") != run.batch_id))
+    done = {r["table_name"]: r for r in earlier if r["status"] == "SUCCESS"}
+    sequence = earlier[0]["sequence"] if earlier else seen + 1
     # One row per table; held here, because the log folder it comes from is written below.
-    rows = control.collect()
-    control = run.spark.createDataFrame(rows, ingest.CONTROL_SCHEMA)
-    lower = {r["table_name"]: r["watermark"] for r in rows}
+    rows = {r["table_name"]: r for r in ingest.collect_utc(control)}
 
     failures: dict[str, Exception] = {}
 
     def copy(table: str) -> dict[str, object]:
-        earlier, begun = done.get(table), monotonic()
-        first = datetime.fromisoformat(WATERMARK_START)
-        start = earlier["watermark_from"] if earlier else first if full_reload else lower[table]
+        before, begun = done.get(table), monotonic()
+        if before:
+            start, from_start = before["watermark_from"], before["from_start"]
+        else:
+            # a table that no batch has moved has no lower bound
+            from_start = full_reload or rows[table]["last_batch_id"] is None
+            start = ingest.FIRST_INSTANT if from_start else rows[table]["watermark"]
         # a repeat goes to the day of the first time
-        instant = earlier["ingested_at"] if earlier else run.now()
+        instant = before["ingested_at"] if before else ingest.as_utc(run.now())
         until, records, written = start, 0, 0
         try:
             # fixed before the copy: what is written meanwhile belongs to the next batch
-            newest = earlier["watermark_to"] if earlier else upper or ingest.upper_watermark(sources[table]).first()["watermark_to"]
-            until = newest or start
-            changed = ingest.extract(sources[table], start, until)
+            newest = before["watermark_to"] if before else upper and ingest.as_utc(upper)
+            until = newest or ingest.collect_utc(ingest.upper_watermark(sources[table]))[0]["watermark_to"] or start
+            changed = ingest.extract(sources[table], None if from_start else start, until)
             stamped = ingest.stamp(changed, run.batch_id, run.source_system, instant)
             records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, instant)
         except Exception as error:
             failures[table] = error
+        moved = table not in failures and until > rows[table]["watermark"]
         return {
             "batch_id": run.batch_id,
             "table_name": table,
@@ -130,13 +130,20 @@ def ingest_all(
             "bytes": written,
             "seconds": round(monotonic() - begun, 3),
             "status": "FAILED" if table in failures else "SUCCESS",
-            "logged_at": run.now(),
+            "logged_at": ingest.as_utc(run.now()),
             "ingested_at": instant,
+            "from_start": from_start,
+            "ingested_on": f"{instant:%Y-%m-%d}",
+            "watermark": until if moved else rows[table]["watermark"],
+            "sequence": sequence,
         }
 
     copied = together(run.spark, {t: partial(copy, t) for t in tables})
-    new_log = ingest.log_rows(run.spark, list(copied.values())).coalesce(1)
-    new_log = layers.replace_batch(new_log, run.history("ingest_log"), run.batch_id)
+    new_log = ingest.commit(run.spark, run.history("ingest_log"), run.batch_id, list(copied.values()), seen)
+    # for readers; runs go by the log alone
+    control = run.spark.createDataFrame(
+        [tuple(r[c] for c in ("table_name", "watermark", "last_batch_id", "updated_at")) for r in rows.values()], ingest.CONTROL_SCHEMA
+    )
     layers.replace_batch(ingest.advance(control, new_log), run.history("watermarks"), run.batch_id)
     for error in failures.values():
         raise error

@@ -3,26 +3,56 @@
 A batch copies the rows changed in ``(from, to]``. The upper bound is fixed
 before the copy, so a row written meanwhile belongs to the next batch. The
 watermark moves only by successful log rows, which are written after the copy.
+
+Instants come to the driver as UTC, whatever the time zones of the machine and the session;
+one without a time zone is taken as UTC.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from parcelflow.model import WATERMARK_START
-from parcelflow.sources.layers import batch_folder
+from parcelflow.sources.layers import batch_folder, read_history, replace_batch
 
 LOG_SCHEMA = (
     "batch_id string, table_name string, watermark_from timestamp, watermark_to timestamp, "
     "records bigint, bytes bigint, seconds double, status string, logged_at timestamp, ingested_at timestamp"
 )
+#: A committed batch: its log rows, the watermark that each leaves behind, and the batch's place in the order of batches.
+#: ``from_start``: the copy had no lower bound. ``ingested_on``: the day whose folder holds the rows.
+COMMIT_SCHEMA = LOG_SCHEMA + ", from_start boolean, ingested_on string, watermark timestamp, sequence bigint"
 CONTROL_SCHEMA = "table_name string, watermark timestamp, last_batch_id string, updated_at timestamp"
 
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+FIRST_INSTANT = datetime.fromisoformat(WATERMARK_START).replace(tzinfo=timezone.utc)
+
+
+class BatchOrder(RuntimeError):
+    """Another batch was committed while this one was being copied."""
+
+
+def as_utc(value: datetime) -> datetime:
+    return value.replace(tzinfo=timezone.utc) if value.tzinfo is None else value.astimezone(timezone.utc)
+
+
 def _instant(value: datetime | str) -> Column:
-    return F.lit(value).cast("timestamp")
+    return F.lit(as_utc(value) if isinstance(value, datetime) else value).cast("timestamp")
+
+
+def collect_utc(rows: DataFrame) -> list[Row]:
+    """A few rows on the driver, their instants in UTC."""
+    instants = [name for name, kind in rows.dtypes if kind == "timestamp"]
+    found = rows.withColumns({c: F.unix_micros(c) for c in instants}).collect() if instants else rows.collect()
+
+    def instant(micros: int | None) -> datetime | None:
+        return None if micros is None else EPOCH + timedelta(microseconds=micros)
+
+    return [Row(**{c: instant(v) if c in instants else v for c, v in r.asDict().items()}) for r in found]
 
 
 def upper_watermark(source: DataFrame, changed: str = "updated_at") -> DataFrame:
@@ -32,22 +62,22 @@ def upper_watermark(source: DataFrame, changed: str = "updated_at") -> DataFrame
 
 def extract(
     source: DataFrame,
-    lower: datetime | str,
+    lower: datetime | str | None,
     upper: datetime | str,
     changed: str = "updated_at",
     full_reload: bool = False,
 ) -> DataFrame:
     """Rows changed after ``lower`` up to and including ``upper``; the filter reaches the source's scan.
 
-    The bounds take the type of the column, so that the column itself stays bare. A first copy (from
-    WATERMARK_START) and a full reload have no lower bound and also take the rows without a time of change, which
+    The bounds take the type of the column, so that the column itself stays bare. A first copy (``lower`` is
+    None) and a full reload have no lower bound and also take the rows without a time of change, which
     no later increment can see.
     """
     kind = dict(source.dtypes)[changed]
-    until = F.col(changed) <= F.lit(upper).cast(kind)
-    if full_reload or str(lower) == WATERMARK_START:
+    until = F.col(changed) <= _instant(upper).cast(kind)
+    if full_reload or lower is None:
         return source.filter(until | F.col(changed).isNull())
-    return source.filter((F.col(changed) > F.lit(lower).cast(kind)) & until)
+    return source.filter((F.col(changed) > _instant(lower).cast(kind)) & until)
 
 
 def stamp(rows: DataFrame, batch_id: str, source_system: str, instant: datetime | str) -> DataFrame:
@@ -56,13 +86,18 @@ def stamp(rows: DataFrame, batch_id: str, source_system: str, instant: datetime
     )
 
 
+def raw_folder(root: str, table: str, batch_id: str, day: str) -> str:
+    """Where the rows of a batch lie; the day as yyyy-mm-dd."""
+    year, month, day_of_month = day.split("-")
+    return batch_folder(f"{root}/{table}/year={year}/month={month}/day={day_of_month}", batch_id)
+
+
 def append_raw(rows: DataFrame, root: str, table: str, batch_id: str, instant: datetime) -> tuple[int, int]:
     """Add stamped rows to ``table/year=/month=/day=`` of the ingest date; returns (rows, bytes) written.
 
-    The batch has a folder of its own below the day, so repeating it with the same instant adds nothing.
+    The batch has a folder of its own below the day (in UTC), so repeating it with the same instant adds nothing.
     """
-    day = f"{root}/{table}/year={instant:%Y}/month={instant:%m}/day={instant:%d}"
-    folder = batch_folder(day, batch_id)
+    folder = raw_folder(root, table, batch_id, f"{as_utc(instant):%Y-%m-%d}")
     seen = Observation()
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "snappy").parquet(folder)
     return seen.get["n"], written_bytes(rows.sparkSession, folder)
@@ -74,10 +109,37 @@ def written_bytes(spark: SparkSession, folder: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
 
 
-def log_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame:
+def log_rows(spark: SparkSession, rows: list[dict[str, object]], schema: str = LOG_SCHEMA) -> DataFrame:
     """Ingest-log rows, one per table of a batch."""
-    names = [part.split()[0] for part in LOG_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(row[n] for n in names) for row in rows], LOG_SCHEMA)
+    names = [part.split()[0] for part in schema.split(", ")]
+    return spark.createDataFrame([tuple(row[n] for n in names) for row in rows], schema)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The committed batches; None before the first one."""
+    try:
+        return read_history(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def last_sequence(log: DataFrame | None) -> int:
+    """The place of the newest committed batch; 0 before the first one."""
+    return 0 if log is None else log.agg(F.max("sequence").alias("n")).first()["n"] or 0
+
+
+def commit(spark: SparkSession, path: str, batch_id: str, rows: list[dict[str, object]], seen: int) -> DataFrame:
+    """Log rows and watermarks of a batch in one file: either all of them count or none.
+
+    ``seen`` is the newest sequence that the run had read; a batch committed since then has moved the watermarks
+    that this run started from, and the commit is refused.
+    """
+    now = last_sequence(read_log(spark, path))
+    if now != seen:
+        raise BatchOrder(f"batch {batch_id} started after commit {seen}, the newest one is {now}")
+    return replace_batch(log_rows(spark, rows, COMMIT_SCHEMA).coalesce(1), path, batch_id)
 
 
 def succeeded(log: DataFrame) -> DataFrame:
