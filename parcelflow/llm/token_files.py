@@ -17,10 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelflow.llm.shared import map_batches
-from parcelflow.llm.tokens import TOKENISED_BYTES, blocks, encoder
+from parcelflow.llm.tokens import blocks, encoder
 
 ROW_GROUP_BYTES = 32 * 2**20
 PAGE_ROWS = 1_000
+#: Texts of a block, in bytes: the larger, the more seldom the worker looks through the pieces that it remembers.
+BLOCK_BYTES = 4_000_000
 
 
 def write_tokens(
@@ -46,7 +48,7 @@ def write_tokens(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, byte_level=False).encode
         part, before = TaskContext.get().partitionId(), 0
-        for block in blocks(batches, size_limit=TOKENISED_BYTES):
+        for block in blocks(batches, size_limit=BLOCK_BYTES):
             ids, bounds = encode(block.column(1))
             ids = np.insert(ids, bounds[1:], end_id).astype(np.int32)
             bounds = bounds + np.arange(len(bounds))

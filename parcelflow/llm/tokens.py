@@ -25,6 +25,10 @@ from parcelflow.llm.shared import give_back
 REMEMBERED = 1_000_000
 SHORT = 8
 
+#: Signs that no splitting pattern keeps with the letters before them, and how many runs of them a worker remembers.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+MARKS = 100_000
+
 #: Texts of a block, in bytes; tokenising holds some fifty times as many for a while and takes smaller blocks.
 BLOCK_BYTES = 8_000_000
 TOKENISED_BYTES = 2_000_000
@@ -183,7 +187,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memory = Memory()
-        self.marks = {mark: self.by_library(mark) for mark in ".,"}
+        self.marks: dict[str, bytes] = {}
 
     def by_library(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -195,23 +199,37 @@ class Encoder:
     def encode_new(self, pieces: list[str]) -> list[bytes | None]:
         """Ids of distinct pieces.
 
-        A word of letters and the full stop or comma after it are encoded apart by every splitting
-        pattern used here.
+        A word of ASCII letters and the signs after it are encoded apart by every splitting pattern used here;
+        each word and each run of signs is encoded once. All other pieces go to the library together.
         """
-        found: list[bytes | None] = []
-        words: dict[str, list[int]] = {}
-        for piece in pieces:
-            stem, mark = (piece[:-1], piece[-1]) if piece[-1:] in self.marks else (piece, "")
+        found: list[bytes | None] = [None] * len(pieces)
+        words: dict[str, bytes] = {}
+        others: list[int] = []
+        texts: list[str] = []
+        for i, piece in enumerate(pieces):
+            stem = piece.rstrip(SIGNS)
             if stem.isascii() and stem.isalpha():
                 ids = words.get(stem)
                 if ids is None:
-                    ids = words[stem] = self.word(self.written(stem))
-                found.append(as_bytes(ids + self.marks[mark] if mark else ids))
+                    ids = words[stem] = as_bytes(self.word(self.written(stem)))
+                found[i] = ids if len(stem) == len(piece) else ids + self.signs(piece[len(stem) :])
             else:
                 spelled = self.spelled(piece)
-                found.append(None if spelled is None else as_bytes(self.by_library(spelled)))
+                if spelled is not None:
+                    others.append(i)
+                    texts.append(spelled)
+        for i, coded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found[i] = as_bytes(coded.ids)
         return found
 
+    def signs(self, run: str) -> bytes:
+        ids = self.marks.get(run)
+        if ids is None:
+            ids = as_bytes(self.by_library(run))
+            if len(self.marks) < MARKS:
+                self.marks[run] = ids
+        return ids
+
 
 def as_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
