@@ -66,9 +66,9 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     return raw.selectExpr(*columns, f"{failed} AS _bad", f"({absent}) AS _lacks")
 
 
-def newest_first(newest_by: str, columns: list[str]) -> str:
+def newest_first(newest_by: str, columns: list[str], side: str = "") -> str:
     """SQL sort value: newest instant first (unknown last), then all columns ascending, nulls first."""
-    return f"struct(coalesce(-unix_micros({newest_by}), {2**63 - 1}) AS _age, {', '.join(columns)})"
+    return f"struct(coalesce(-unix_micros({side}{newest_by}), {2**63 - 1}) AS _age, {', '.join(side + c for c in columns)})"
 
 
 def judge(raw: DataFrame, contract: Contract) -> DataFrame:
@@ -87,6 +87,36 @@ def judge(raw: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def merge(stored: DataFrame, new: DataFrame, contract: Contract) -> DataFrame:
+    """Verdicts of all rows from those of earlier rows and those of new rows, as ``judge`` gives them.
+
+    Counts add up, and of two surviving rows the newer stays, by the order that ``judge`` has; so the result is that
+    of judging all rows together. The rows themselves are not read again. Columns that one side lacks are null there.
+    """
+    key = contract.key
+    checks = ["_copies", "_missing", "_invalid", "_survives"]
+    names = [c for c in (*new.columns, *stored.columns) if c not in (key, *checks)]
+    payload = list(dict.fromkeys(names))
+    kinds = dict(stored.dtypes) | dict(new.dtypes)
+
+    def side(verdicts: DataFrame, name: str) -> DataFrame:
+        have = [c if c in verdicts.columns else f"CAST(NULL AS {kinds[c]}) AS {c}" for c in payload]
+        return verdicts.selectExpr(key, *have, *checks).alias(name)
+
+    newer = (
+        f"n._survives AND (s._survives IS NULL OR NOT s._survives OR "
+        f"{newest_first(contract.newest_by, payload, 'n.')} < {newest_first(contract.newest_by, payload, 's.')})"
+    )
+    both = side(stored, "s").join(side(new, "n"), F.expr(f"s.{key} <=> n.{key}"), "full")
+    # the key is null on the side that lacks it, and on both for rows without a key
+    return both.selectExpr(
+        f"coalesce(s.{key}, n.{key}) AS {key}",
+        *[f"CASE WHEN coalesce({newer}, false) THEN n.{c} ELSE s.{c} END AS {c}" for c in payload],
+        *[f"coalesce(s.{c}, 0L) + coalesce(n.{c}, 0L) AS {c}" for c in checks[:3]],
+        "coalesce(s._survives, false) OR coalesce(n._survives, false) AS _survives",
+    )
+
+
 def check_references(verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
     """Add ``_broken_ref``: the first declared reference whose parent is absent.
 

@@ -17,7 +17,12 @@ from parcelflow.operators.timeline import fact_shipment_event
 
 DIMENSIONS = ("dim_driver", "dim_shipper", "dim_zone")
 FACTS = ("fact_shipment", "fact_route", "fact_driver_day", "fact_shipment_event", "fact_zone_alert")
-AGGREGATES = ("agg_zone_day", "agg_shipper_day", "agg_package_day", "kpi_day")
+# Daily tables of the shipment fact alone.
+AGGREGATES = {
+    "agg_zone_day": agg_zone_day, "agg_shipper_day": agg_shipper_day, "agg_package_day": agg_package_day, "kpi_day": kpi_day,
+}
+# Tells which days of the shipment fact differ between versions.
+DAY_SUMS = "fact_shipment_days"
 
 # Layout columns of the large tables.
 PARTITIONS = {
@@ -49,10 +54,7 @@ def derived_tables(silver: dict[str, DataFrame], base: dict[str, DataFrame]) ->
         "fact_driver_day": fact_driver_day(fact, base["fact_route"], silver["ratings"], base["dim_zone"]),
         "fact_shipment_event": fact_shipment_event(fact, silver["incidents"]),
         "fact_zone_alert": fact_zone_alert(fact),
-        "agg_zone_day": agg_zone_day(fact),
-        "agg_shipper_day": agg_shipper_day(fact),
-        "agg_package_day": agg_package_day(fact),
-        "kpi_day": kpi_day(fact),
+        **{table: build(fact) for table, build in AGGREGATES.items()},
     }
 
 

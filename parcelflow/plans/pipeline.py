@@ -1,26 +1,27 @@
-"""One run: ingest, volume audit, cleaning, modelling, quality gate, summary.
+"""One run: ingest, volume audit, cleaning, modelling, quality gate, publishing, summary.
 
 Every layer is written and read back before the next one starts: later steps
 see files with known sizes, nothing is computed twice, and a run that loses
-executors repeats tasks, not layers.
+executors repeats tasks, not layers. Readers see the tables of a run once it has passed the gate.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import partial
 from time import monotonic
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from parcelflow.model import CITY_NAMES, CONTRACTS
-from parcelflow.operators import audit, gate, summary, verdicts
-from parcelflow.operators.cleanse import clean_schema
+from parcelflow.operators import audit, gate, refresh, summary, verdicts
+from parcelflow.operators.cleanse import clean_columns
 from parcelflow.operators.reports import quality_report
 from parcelflow.plans import gold as model, silver as cleaning
 from parcelflow.plans.together import together
-from parcelflow.sources import ingest, layers
+from parcelflow.sources import ingest, layers, versions
 
 
 class VolumeAlert(RuntimeError):
@@ -37,10 +38,21 @@ class Run:
     as_of: date
     started_at: str | None = None
     source_system: str = "source"
+    # catalog database in which published tables are registered; none by default
+    database: str | None = None
+    # schemas of the tables written for the next version, by layer and name
+    pending: dict[tuple[str, str], StructType] = field(default_factory=dict, compare=False, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def next_path(self, layer: str, table: str) -> str:
+        """Where a table of the version lies that this run will publish."""
+        return f"{self.root}/{versions.folder_of(self.next_version(), layer, table)}"
+
+    def next_version(self) -> int:
+        return versions.newest(self.spark, self.root) + 1
+
     def history(self, name: str) -> str:
         return self.path("history", name)
 
@@ -48,27 +60,21 @@ class Run:
         return datetime.now(timezone.utc)
 
 
-def silver_path(run: Run, table: str) -> str:
-    """Folder of a cleaned table: the accepted part of its verdicts."""
-    return f"{run.path('judged', table)}/accepted=true"
+def accepted(judged: DataFrame, table: str) -> DataFrame:
+    """The cleaned rows of a written verdict table; its accepted part is the only folder that the scan opens."""
+    return judged.filter("accepted").select(*clean_columns(judged, CONTRACTS[table]))
 
 
-def read_silver(run: Run) -> dict[str, DataFrame]:
-    """Cleaned tables of the last run: the accepted part of the verdicts, the only folder these scans open."""
-    return {
-        t: layers.read_table(run.spark, run.path("judged", t), f"{clean_schema(c)}, accepted boolean")
-        .filter("accepted")
-        .drop("accepted")
-        for t, c in CONTRACTS.items()
-    }
+def read_silver(run: Run, version: int | None = None) -> dict[str, DataFrame]:
+    """Cleaned tables of the newest published version, or of another one."""
+    judged = versions.tables(run.spark, run.root, "judged", version)
+    return {t: accepted(judged[t], t) for t in CONTRACTS}
 
 
-def read_gold(run: Run) -> dict[str, DataFrame]:
-    """Dimensions and facts of the last run."""
-    plans = model.gold(read_silver(run), run.as_of)
-    return {
-        t: layers.read_table(run.spark, run.path("gold", t), plans[t].schema) for t in model.DIMENSIONS + model.FACTS
-    }
+def read_gold(run: Run, version: int | None = None, names: tuple[str, ...] = model.DIMENSIONS + model.FACTS) -> dict[str, DataFrame]:
+    """Tables of the model (dimensions and facts by default) of the newest published version, or of another one."""
+    gold = versions.tables(run.spark, run.root, "gold", version)
+    return {t: gold[t] for t in names}
 
 
 def read_log(run: Run) -> DataFrame | None:
@@ -166,18 +172,52 @@ def audit_volumes(run: Run, tables: list[str], force_alert: bool = False) -> tup
     return verdict, not alerts.isEmpty()
 
 
+def copied_folders(run: Run) -> dict[str, dict[str, str]]:
+    """Of each table the folders of its raw rows, by batch, as the log has them."""
+    rows = ingest.succeeded(read_log(run)).select("table_name", "batch_id", "ingested_on").collect()  # one row per table and batch
+    found: dict[str, dict[str, str]] = {t: {} for t in CONTRACTS}
+    for r in sorted(rows):
+        found.setdefault(r["table_name"], {})[r["batch_id"]] = ingest.raw_folder(
+            f"{run.root}/bronze", r["table_name"], r["batch_id"], r["ingested_on"]
+        )
+    return found
+
+
+def own_verdicts(run: Run, table: str, folders: dict[str, str], stored: versions.Entry | None) -> DataFrame:
+    """Verdicts of a table's own rows: those of the published version with the batches that it lacks.
+
+    Without a published version, or to repeat a batch that is in it, all raw rows are judged.
+    """
+    contract = CONTRACTS[table]
+    if stored is None or run.batch_id in stored.batches or not set(stored.batches) <= set(folders):
+        return verdicts.judge(layers.scan_evolved(run.spark, list(folders.values())), contract)
+    before = versions.read(run.spark, run.root, stored)
+    fresh = [folder for batch, folder in folders.items() if batch not in stored.batches]
+    if not fresh:
+        return before
+    return verdicts.merge(before, verdicts.judge(layers.scan_evolved(run.spark, fresh), contract), contract)
+
+
 def build_silver(run: Run) -> dict[str, DataFrame]:
-    """Judge every table once; cleaned rows, findings and report all come from the written verdicts."""
+    """Judge the new rows of every table; cleaned rows, findings and report all come from the written verdicts."""
+    run.pending.clear()
+    published = versions.entries(run.spark, run.root)
+    folders = copied_folders(run)
+    paths = {(layer, t): run.next_path(layer, t) for layer in ("verdicts", "judged") for t in CONTRACTS}
     judged: dict[str, DataFrame] = {}
     keys: dict[str, DataFrame] = {}
 
     def judge(table: str) -> DataFrame:
-        raw = layers.scan_layer(run.spark, run.path("bronze", table))
-        verdict = cleaning.judge_table(raw, CONTRACTS[table], keys).withColumn("accepted", F.expr(verdicts.ACCEPTED))
-        path = run.path("judged", table)
+        contract = CONTRACTS[table]
+        own = own_verdicts(run, table, folders[table], published.get(("verdicts", table)))
+        own.write.mode("overwrite").parquet(paths["verdicts", table])
+        run.pending["verdicts", table] = own.schema
+        own = layers.read_table(run.spark, paths["verdicts", table], own.schema)
+        verdict = cleaning.complete(own, contract, keys).withColumn("accepted", F.expr(verdicts.ACCEPTED))
         # Rejected keys lie beside the accepted ones, so the rows are written only once.
-        verdict.write.mode("overwrite").partitionBy("accepted").parquet(path)
-        return layers.read_table(run.spark, path, verdict.schema)
+        verdict.write.mode("overwrite").partitionBy("accepted").parquet(paths["judged", table])
+        run.pending["judged", table] = verdict.schema
+        return layers.read_table(run.spark, paths["judged", table], verdict.schema)
 
     for wave in cleaning.waves(CONTRACTS):
         done = together(run.spark, {t: partial(judge, t) for t in wave})
@@ -193,18 +233,40 @@ def build_silver(run: Run) -> dict[str, DataFrame]:
             "report": partial(layers.replace_batch, report, run.history("quality_report"), run.batch_id),
         },
     )
-    return read_silver(run)
+    return {t: accepted(judged[t], t) for t in CONTRACTS}
 
 
 def build_gold(run: Run, silver: dict[str, DataFrame], city_names: dict[str, str] = CITY_NAMES) -> dict[str, DataFrame]:
+    """Write the model's tables for the next version; daily aggregates only of the days that differ from the published one."""
+    earlier = versions.tables(run.spark, run.root, "gold")
+    paths = {t: run.next_path("gold", t) for t in (*model.DIMENSIONS, *model.FACTS, *model.AGGREGATES, model.DAY_SUMS)}
+
     def write(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        run.pending.update({("gold", t): df.schema for t, df in tables.items()})
         return together(
-            run.spark,
-            {t: partial(layers.overwrite, df, run.path("gold", t), model.PARTITIONS.get(t)) for t, df in tables.items()},
+            run.spark, {t: partial(layers.overwrite, df, paths[t], model.PARTITIONS.get(t)) for t, df in tables.items()}
         )
 
     base = write(model.base_tables(silver, run.as_of, city_names))
-    return base | write(model.derived_tables(silver, base))
+    base |= write({model.DAY_SUMS: refresh.day_sums(base["fact_shipment"])})
+    derived = model.derived_tables(silver, base)
+    if model.DAY_SUMS in earlier:
+        days = refresh.changed_days(earlier[model.DAY_SUMS], base[model.DAY_SUMS])
+        for table, build in model.AGGREGATES.items():
+            derived[table] = refresh.refreshed(earlier[table], base["fact_shipment"], days, build)
+    return base | write(derived)
+
+
+def publish(run: Run) -> int:
+    """Let readers see the tables that this run has written; returns their version."""
+    version = run.next_version()
+    batches = {t: list(folders) for t, folders in copied_folders(run).items()}
+    versions.publish(run.spark, run.root, version, run.batch_id, run.pending, batches, ingest.as_utc(run.now()))
+    if run.database:
+        for (layer, table), entry in versions.entries(run.spark, run.root, version).items():
+            if layer == "gold":
+                layers.register(run.spark, f"{run.database}.{table}", f"{run.root}/{entry.folder}")
+    return version
 
 
 def check_gold(run: Run, gold: dict[str, DataFrame]) -> DataFrame:
@@ -280,4 +342,5 @@ def run(
     silver = staged(settings, "silver", lambda: build_silver(settings))
     gold = staged(settings, "gold", lambda: build_gold(settings, silver, city_names))
     staged(settings, "gate", lambda: check_gold(settings, gold))
+    staged(settings, "publish", lambda: publish(settings))
     return staged(settings, "summary", lambda: summarise(settings, silver, gold))

@@ -12,7 +12,12 @@ from parcelflow.operators import cleanse, verdicts as v
 
 def judge_table(raw: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
     """All checks of one table, its columns already imputed and masked."""
-    referenced = v.check_references(v.judge(raw, contract), contract, parents)
+    return complete(v.judge(raw, contract), contract, parents)
+
+
+def complete(verdicts: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> DataFrame:
+    """The checks against other tables and the business rules on the verdicts of a table's own rows."""
+    referenced = v.check_references(verdicts, contract, parents)
     return cleanse.finish(v.check_rules(referenced, contract), contract)
 
 
