@@ -8,6 +8,7 @@ from datetime import date, datetime, timezone
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # the modules beside this file, wherever it is loaded from
@@ -21,7 +22,7 @@ from parcelflow.model import CONTRACTS
 from parcelflow.operators import alerts, aggregates, audit, cleanse, gate, performance, reports, summary, timeline
 from parcelflow.operators import verdicts as v
 from parcelflow.plans import gold as model, pipeline, silver as cleaning, views
-from parcelflow.sources import ingest, layers, text
+from parcelflow.sources import ingest, layers, text, versions
 
 try:
     import corpus_pipeline
@@ -36,6 +37,7 @@ BATCH = "b1"
 AUDITED_BATCH = "2024-01-10"
 AUDIT_LIMIT_PCT = 10.0
 INGEST_INSTANT = datetime(2024, 2, 1, 2, 0, 0, tzinfo=timezone.utc)
+CUT = "1996-01-01 00:00:00"
 LOWER, UPPER = "2024-01-10 12:00:00", "2024-01-20 00:00:00"
 
 
@@ -68,11 +70,28 @@ def scan_layer(spark: SparkSession, sf: str) -> DataFrame:
     return layers.scan_layer(spark, f"{root}/routes").select(*routes.columns)
 
 
+def scan_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """Routes of two batches, the later with one more column and two columns of other types, read back as one table."""
+    routes = _view(spark, sf, "routes")
+    root = layers.scratch_folder(spark, "evolved")
+    late = F.col("updated_at") > F.lit(CUT).cast("timestamp_ntz")
+    later = {"stops_planned": F.col("stops_planned").cast("bigint"), "stops_done": F.col("stops_done").cast("string")}
+    routes.filter(~late).drop("fuel").write.parquet(f"{root}/routes/batch=b1")
+    routes.filter(late).withColumns(later).write.parquet(f"{root}/routes/batch=b2")
+    return layers.scan_layer(spark, f"{root}/routes").select(*routes.columns)
+
+
 def csv_typed_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Routes as CSV files with their columns in two orders, loaded by name."""
     routes = _view(spark, sf, "routes")
-    folder = layers.scratch_folder(spark, "csv") + "/routes"
-    routes.toDF(*[f" {c.upper()} " for c in routes.columns]).write.option("header", True).csv(folder)
-    return _bad_as_text(text.read_typed_csv(spark, folder, CONTRACTS["routes"]))
+    root = layers.scratch_folder(spark, "csv")
+    named = routes.toDF(*[f" {c.upper()} " for c in routes.columns])
+    late = F.col("updated_at") > F.lit(CUT).cast("timestamp_ntz")
+    named.filter(routes["updated_at"] <= F.lit(CUT).cast("timestamp_ntz")).write.option("header", True).csv(f"{root}/routes")
+    turned = routes.filter(late).toDF(*named.columns).select(*[F.col(f"`{c}`") for c in reversed(named.columns)])
+    turned.write.option("header", True).mode("append").csv(f"{root}/routes")
+    text.load_csv(spark, f"{root}/routes", CONTRACTS["routes"], f"{root}/typed")
+    return _bad_as_text(spark.read.parquet(f"{root}/typed"))
 
 
 def _bad_as_text(df: DataFrame) -> DataFrame:
@@ -100,6 +119,50 @@ def _counts(tables: dict[str, DataFrame]) -> DataFrame:
     return summary.table_counts({"": tables}).drop("layer")
 
 
+_ingested: dict[tuple[str, str], str] = {}
+
+
+def _ingested_batches(spark: SparkSession, sf: str) -> str:
+    """Root of an ingest of three batches, the first repeated after the second, the third failed; once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ingested:
+        raw, root = _raw(spark, sf, "routes", "ratings", "incidents"), layers.scratch_folder(spark, "ingested")
+
+        def copy(batch: str, *tables: str, upper: datetime | None = None) -> None:
+            pipeline.ingest_all(pipeline.Run(spark, root, batch, AS_OF), {t: raw[t] for t in tables}, upper=upper)
+
+        copy("b1", "routes", upper=datetime.fromisoformat(CUT))
+        copy("b2", "routes", "ratings")
+        copy("b1", "routes")
+        raw["incidents"] = raw["incidents"].withColumn("agent_id", F.raise_error(F.lit("unreadable")).cast("string"))
+        try:
+            copy("b3", "incidents")
+        except PySparkException:  # noted in the log
+            pass
+        _ingested[key] = root
+    return _ingested[key]
+
+
+def bronze_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw routes after a batch was repeated: each row once, under the batch that brought it."""
+    rows = layers.scan_layer(spark, f"{_ingested_batches(spark, sf)}/bronze/routes")
+    return rows.drop("_ingest_ts", "_source_system")
+
+
+def ingest_log(spark: SparkSession, sf: str) -> DataFrame:
+    log = layers.read_history(spark, f"{_ingested_batches(spark, sf)}/history/ingest_log")
+    return log.select(
+        "batch_id", "table_name", "watermark_from", "watermark_to", "records", "status", "from_start", "watermark", "sequence"
+    )
+
+
+def reconcile_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Routes against a copy in which some are missing and some have another distance."""
+    routes = _view(spark, sf, "routes")
+    km = F.when(F.col("stops_planned") == 17, F.col("km") + 1).otherwise(F.col("km"))
+    return text.reconcile_content(routes, routes.filter("stops_planned <> 13").withColumn("km", km), "route_id")
+
+
 def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     raw = _raw(spark, sf)
     return text.reconcile(_counts(raw), _counts(cleaning.silver(raw)))
@@ -132,17 +195,24 @@ def volume_alerts_history(spark: SparkSession, sf: str) -> DataFrame:
 # --- cleaning -------------------------------------------------------------------------------------
 
 
-def typed_contract(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw shipments as text, some values spoilt, brought back to their types."""
+def _spoilt_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw shipments as text, some values spoilt."""
     spoilt = {
         "weight_kg": F.when(F.col("weight_kg") == 13, "13 kg").otherwise(F.col("weight_kg").cast("string")),
         "due_date": F.when((F.col("package_type") == "Large") & (F.col("weight_kg") % 7 == 0), "soon").otherwise(
             F.col("due_date").cast("string")
         ),
+        "received_time": F.when((F.col("package_type") == "Small") & (F.col("weight_kg") % 11 == 0), "25:99:99").otherwise(
+            F.col("received_time")
+        ),
     }
     shipments = _view(spark, sf, "shipments")
-    as_text = shipments.select(*[spoilt.get(c, F.col(c).cast("string")).alias(c) for c in shipments.columns])
-    return _bad_as_text(v.typed(as_text, CONTRACTS["shipments"])).select(
+    return shipments.select(*[spoilt.get(c, F.col(c).cast("string")).alias(c) for c in shipments.columns])
+
+
+def typed_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Spoilt shipments brought back to their types."""
+    return _bad_as_text(v.typed(_spoilt_shipments(spark, sf), CONTRACTS["shipments"])).select(
         "shipment_id", "shipper_id", "weight_kg", "received_date", "received_time", "due_date", "attempt2_date",
         "attempt2_time", "delivered_date", "declared_value", "updated_at", "bad_columns",
     )
@@ -152,13 +222,39 @@ def _found(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.all_findings(cleaning.judge_all(_raw(spark, sf)))
 
 
+def findings_type(spark: SparkSession, sf: str) -> DataFrame:
+    """Spoilt shipments as findings."""
+    contract = CONTRACTS["shipments"]
+    return _findings_of(v.findings(_alone(_spoilt_shipments(spark, sf), contract), contract), F.col("rule") == "TYPE_INVALID")
+
+
+def verdicts_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts of earlier shipments, stored and merged with those of later ones."""
+    contract, shipments = CONTRACTS["shipments"], _view(spark, sf, "shipments")
+    late = F.col("updated_at") > F.lit(CUT).cast("timestamp_ntz")
+    path = layers.scratch_folder(spark, "verdicts")
+    v.judge(shipments.filter(~late), contract).write.parquet(path)
+    merged = v.merge(spark.read.parquet(path), v.judge(shipments.filter(late), contract), contract)
+    return merged.withColumnsRenamed({f"_{c}": c for c in ("copies", "missing", "invalid", "survives")})
+
+
+def _alone(raw: DataFrame, contract) -> DataFrame:
+    """Verdicts without the checks against other tables."""
+    judged = v.judge(raw, contract).withColumn("_broken_ref", F.lit(None).cast("string"))
+    return judged.withColumn("_broken_rules", F.array().cast("array<string>"))
+
+
 def _found_early(spark: SparkSession, sf: str) -> DataFrame:
     """Findings that need no other table."""
-    judged = {}
-    for table, raw in _raw(spark, sf).items():
-        alone = v.judge(raw, CONTRACTS[table]).withColumn("_broken_ref", F.lit(None).cast("string"))
-        judged[table] = alone.withColumn("_broken_rules", F.array().cast("array<string>"))
-    return cleaning.all_findings(judged)
+    return cleaning.all_findings({t: _alone(raw, CONTRACTS[t]) for t, raw in _raw(spark, sf).items()})
+
+
+def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report, its fractions of nulls as whole millionths by column."""
+    fractions = F.map_entries(F.from_json("null_fractions", "map<string,double>"))
+    entry = lambda e: F.concat(e["key"], F.lit("="), F.floor(e["value"] * 1_000_000 + 1e-6).cast("string"))
+    report = reports.quality_report(cleaning.judge_all(_raw(spark, sf)))
+    return report.withColumn("null_fractions", F.array_join(F.transform(F.array_sort(fractions), entry), ","))
 
 
 def _findings_of(found: DataFrame, rule) -> DataFrame:
@@ -285,6 +381,17 @@ def fact_driver_day(spark: SparkSession, sf: str) -> DataFrame:
     return performance.fact_driver_day(fact, model.fact_route(silver["routes"]), silver["ratings"], zones)
 
 
+def zone_baseline_carried(spark: SparkSession, sf: str) -> DataFrame:
+    """Baselines of two later stretches of days, each from the few days that the one before handed on."""
+    days = alerts.zone_day_failure(_fact(spark, sf))
+    first = F.col("day") < F.lit(CUT).cast("date")
+    second = F.col("day") < F.lit("1998-01-01").cast("date")
+    recent = alerts.recent_days(days.filter(first))
+    one = alerts.carried_baseline(days.filter(~first & second), recent)
+    other = alerts.carried_baseline(days.filter(~second), alerts.recent_days(days.filter(~first & second), recent))
+    return one.unionByName(other)
+
+
 def with_incidents(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         silver = _silver(spark, sf, "shipments", "shippers", "incidents")
@@ -337,7 +444,57 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
         BATCH,
         started_at="2024-06-15T12:00:00Z",
         finished_at=datetime(2024, 6, 15, 12, 1, 30, 500_000, tzinfo=timezone.utc),
-    ).drop("summary", "finished_at")
+    )
+
+
+_versioned: dict[tuple[str, str], pipeline.Run] = {}
+
+
+def _published_twice(spark: SparkSession, sf: str) -> pipeline.Run:
+    """Two published versions and a third whose gate failed; once per session and scale.
+
+    The first holds the earlier shipments; the second merges the later ones and has another day of reference.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _versioned:
+        raw, root = _raw(spark, sf), layers.scratch_folder(spark, "versions")
+        early = dict(raw, shipments=raw["shipments"].filter(F.col("updated_at") <= F.lit(CUT).cast("timestamp_ntz")))
+        days = {"b1": AS_OF, "b2": AS_OF.replace(year=AS_OF.year + 1), "b3": AS_OF}
+        for batch, sources in (("b1", early), ("b2", raw), ("b3", raw)):
+            run = pipeline.Run(spark, root, batch, days[batch])
+            pipeline.ingest_all(run, sources)
+            gold = pipeline.build_gold(run, pipeline.build_silver(run), fixtures.CITY_NAMES)
+            if batch == "b3":
+                gold["fact_shipment"] = gold["fact_shipment"].withColumn("weight_kg", -F.col("weight_kg"))
+            try:
+                pipeline.check_gold(run, gold)
+                pipeline.publish(run)
+            except gate.GateFailed:  # stored, and nothing is published
+                pass
+        _versioned[key] = run
+    return _versioned[key]
+
+
+def kpi_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily indicators of which the second version aggregated the changed days only."""
+    return pipeline.read_gold(_published_twice(spark, sf), version=2, names=("kpi_day",))["kpi_day"]
+
+
+def gold_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    run = _published_twice(spark, sf)
+    parts = [
+        pipeline.read_gold(run, version)["dim_driver"].select(F.lit(version).cast("bigint").alias("version"), "driver_id", "tenure_years")
+        for version in (1, 2)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gold_after_failed_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers see after a run whose gate failed."""
+    run = _published_twice(spark, sf)
+    version = versions.newest(spark, run.root)
+    kpi = pipeline.read_gold(run, names=("kpi_day",))["kpi_day"]
+    return kpi.select(F.lit(version).cast("bigint").alias("version"), "*")
 
 
 # The tables each analyst query names.
@@ -366,13 +523,17 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "scan_layer": scan_layer,
+        "scan_evolved": scan_evolved,
         "csv_typed_roundtrip": csv_typed_roundtrip,
+        "bronze_replay": bronze_replay,
+        "ingest_log": ingest_log,
         "incremental_extract": _changed_events,
         "watermark_upper": lambda s, d: ingest.upper_watermark(fixtures.base_table(s, d, "events"), "ts"),
         "ingest_stamped": ingest_stamped,
         "watermark_advance": watermark_advance,
         "watermark_state": lambda s, d: ingest.watermark_state(_view(s, d, "ingest_log")),
         "reconcile_counts": reconcile_counts,
+        "reconcile_content": reconcile_content,
         "audit_batch": _audited,
         "audit_missing_tables": lambda s, d: audit.log_row_faults(
             _audited(s, d), ["click", "error", "refund", "signup", "view"]
@@ -384,6 +545,8 @@ def queries() -> dict[str, Query]:
         "volume_alert_forced": lambda s, d: audit.forced_alert(_audited(s, d)),
         "audit_verdict": lambda s, d: audit.verdict_line(_audited(s, d), _alerts(s, d), AUDITED_BATCH, AUDIT_LIMIT_PCT),
         "typed_contract": typed_contract,
+        "findings_type": findings_type,
+        "verdicts_merged": verdicts_merged,
         "findings_required": lambda s, d: _findings_of(_found_early(s, d), F.col("rule") == "REQUIRED_NULL"),
         "findings_duplicates": lambda s, d: _findings_of(_found_early(s, d), F.col("rule") == "DUPLICATE_KEY"),
         "dedup_latest": lambda s, d: v.survivors(v.judge(_view(s, d, "shipments"), CONTRACTS["shipments"])),
@@ -400,7 +563,7 @@ def queries() -> dict[str, Query]:
         "imputed_district": imputed_district,
         "drivers_masked": drivers_masked,
         "free_text_masked": free_text_masked,
-        "quality_report": lambda s, d: reports.quality_report(cleaning.judge_all(_raw(s, d))).drop("null_fractions"),
+        "quality_report": quality_report,
         "null_profile": null_profile,
         **{f"silver_{table}": silver_table(table) for table in CONTRACTS},
         "dim_driver": dim_driver,
@@ -420,6 +583,7 @@ def queries() -> dict[str, Query]:
         "fact_shipment_event": with_incidents(timeline.fact_shipment_event),
         "zone_day_failure": from_fact(alerts.zone_day_failure),
         "zone_baseline": from_fact(lambda fact: alerts.zone_baseline(alerts.zone_day_failure(fact))),
+        "zone_baseline_carried": zone_baseline_carried,
         "fact_zone_alert": from_fact(alerts.fact_zone_alert),
         "agg_zone_day": from_fact(aggregates.agg_zone_day),
         "agg_shipper_day": from_fact(aggregates.agg_shipper_day),
@@ -429,6 +593,9 @@ def queries() -> dict[str, Query]:
         "dq_results_raw": dq_results_raw,
         "run_counts": run_counts,
         "run_summary": run_summary,
+        "kpi_refreshed": kpi_refreshed,
+        "gold_by_version": gold_by_version,
+        "gold_after_failed_gate": gold_after_failed_gate,
         **{name: analyst(name) for name in views.QUERIES},
         **(corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}),
     }

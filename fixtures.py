@@ -65,15 +65,16 @@ VIEWS = {
                CASE WHEN l_partkey % 200 = 0 THEN -l_quantity ELSE l_quantity END AS weight_kg,
                CAST(l_shipdate AS DATE) AS received_date,
                concat(lpad(CAST(6 + l_partkey % 15 AS STRING), 2, '0'), ':30:00') AS received_time,
-               CAST(CAST(l_shipdate AS DATE)
-                    + CAST(CASE WHEN l_partkey % 15 < 4 THEN 0 ELSE 1 END AS INT) AS DATE) AS due_date,
+               CASE WHEN l_partkey % 37 <> 5 THEN CAST(CAST(l_shipdate AS DATE)
+                    + CAST(CASE WHEN l_partkey % 15 < 4 THEN 0 ELSE 1 END AS INT) AS DATE) END AS due_date,
                CAST(l_shipdate AS DATE) AS attempt1_date,
                concat(lpad(CAST(least(8 + l_partkey % 15 + l_suppkey % 8, 23) AS STRING), 2, '0'), ':45:00')
                    AS attempt1_time,
                CASE WHEN l_returnflag = 'A' THEN 'Entregado' ELSE 'Failed' END AS attempt1_result,
                CASE WHEN l_returnflag <> 'A' AND l_partkey % 3 > 0
                     THEN CAST(CAST(l_shipdate AS DATE) + CAST(1 + l_suppkey % 2 AS INT) AS DATE) END AS attempt2_date,
-               CASE WHEN l_returnflag <> 'A' AND l_partkey % 3 > 0 THEN '10:15:00' END AS attempt2_time,
+               CASE WHEN l_returnflag <> 'A' AND l_partkey % 3 > 0
+                    THEN CASE WHEN l_suppkey % 4 = 1 THEN '02:15:00' ELSE '10:15:00' END END AS attempt2_time,
                CASE WHEN l_returnflag = 'N' AND l_partkey % 3 > 0 THEN 'Entregado'
                     WHEN l_returnflag <> 'A' THEN 'Failed' END AS attempt2_result,
                CASE WHEN l_returnflag = 'A'

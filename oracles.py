@@ -126,12 +126,15 @@ def _hours(start: str, end: str) -> str:
 
 
 def _exact(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(28,9))) AS DOUBLE)"
+    """The sum of nine places, and that of what they leave of each value in units of 2 ** -50."""
+    head = f"CAST({col} AS DECIMAL(31,9))"
+    rest = f"CAST(floor(({col} - CAST({head} AS DOUBLE)) * CAST({2**50} AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+    return f"(CAST(sum({head}) AS DOUBLE) + CAST(sum({rest}) AS DOUBLE) / CAST({2**50} AS DOUBLE))"
 
 
 def _round(value: str, digits: int) -> str:
     scale = 10**digits
-    return f"floor(({value}) * {scale} + 0.5 + 1e-9) / {scale}"
+    return f"(sign({value}) * floor(abs({value}) * {scale} + 0.5 + 1e-9) / {scale} + 0)"
 
 
 def _share(condition: str) -> str:
@@ -393,6 +396,29 @@ NULL_COLUMNS = {
     "ratings": "rating_id shipment_id rating_date score channel updated_at comment_text_hash",
 }
 
+# Raw shipments spoilt by the typed queries.
+SPOILT = {
+    "weight_kg": "weight_kg = 13",
+    "due_date": "package_type = 'Large' AND weight_kg % 7 = 0",
+    "received_time": "package_type = 'Small' AND weight_kg % 11 = 0",
+}
+CUT = "TIMESTAMP '1996-01-01 00:00:00'"
+
+
+def _log_row(batch: str, table: str, start: str, until: str, where: str, status: str, first: bool, mark: str, place: int) -> str:
+    return (
+        f"SELECT '{batch}' AS batch_id, '{table}' AS table_name, {start} AS watermark_from, {until} AS watermark_to, "
+        f"(SELECT count(*) FROM {table} WHERE {where}) AS records, '{status}' AS status, {first} AS from_start, "
+        f"{mark} AS watermark, CAST({place} AS BIGINT) AS sequence"
+    )
+
+
+def _newest(table: str) -> str:
+    return f"(SELECT CAST(max(updated_at) AS TIMESTAMP) FROM {table})"
+
+
+BEGIN = "TIMESTAMP '1900-01-01 00:00:00'"
+
 # The lower bound 2024-01-10 12:00 is left out of a batch, the upper one 2024-01-20 is in it.
 CHANGED = "ts > TIMESTAMP '2024-01-10 12:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'"
 
@@ -400,6 +426,23 @@ STATEMENTS: dict[str, str] = {
     # ingest
     "scan_layer": "SELECT * FROM routes",
     "csv_typed_roundtrip": "SELECT *, '' AS bad_columns FROM routes",
+    "scan_evolved": f"""
+        SELECT * REPLACE (CAST(stops_planned AS BIGINT) AS stops_planned, CAST(stops_done AS VARCHAR) AS stops_done,
+                          CASE WHEN updated_at > {CUT} THEN fuel END AS fuel)
+        FROM routes""",
+    "bronze_replay": f"SELECT *, CASE WHEN updated_at <= {CUT} THEN 'b1' ELSE 'b2' END AS _batch_id FROM routes",
+    "ingest_log": " UNION ALL ".join([
+        _log_row("b1", "routes", BEGIN, CUT, f"updated_at <= {CUT}", "SUCCESS", True, CUT, 1),
+        _log_row("b2", "routes", CUT, _newest("routes"), f"updated_at > {CUT}", "SUCCESS", False, _newest("routes"), 2),
+        _log_row("b2", "ratings", BEGIN, _newest("ratings"), "true", "SUCCESS", True, _newest("ratings"), 2),
+        _log_row("b3", "incidents", BEGIN, _newest("incidents"), "false", "FAILED", True, BEGIN, 3),
+    ]),
+    "reconcile_content": """
+        SELECT route_id, CASE WHEN target_rows = 0 THEN 'MISSING' ELSE 'CHANGED' END AS difference, source_rows, target_rows
+        FROM (SELECT route_id, count(*) AS source_rows, count(*) FILTER (WHERE stops_planned <> 13) AS target_rows,
+                     count(*) FILTER (WHERE stops_planned = 17) AS changed
+              FROM routes GROUP BY route_id)
+        WHERE source_rows <> target_rows OR changed > 0""",
     "incremental_extract": f"SELECT * FROM events WHERE {CHANGED}",
     "watermark_upper": "SELECT max(ts) AS watermark_to FROM events",
     "ingest_stamped": f"""
@@ -455,12 +498,25 @@ STATEMENTS: dict[str, str] = {
                     ELSE 'BRONZE_OK | batch_id=2024-01-10 | tables=' || (SELECT count(*) FROM audit_batch) END AS verdict""",
     # cleaning
     "typed_contract": """
-        SELECT shipment_id, shipper_id, CASE WHEN weight_kg <> 13 THEN weight_kg END AS weight_kg, received_date, received_time,
+        SELECT shipment_id, shipper_id, CASE WHEN weight_kg <> 13 THEN weight_kg END AS weight_kg, received_date,
+               CASE WHEN package_type = 'Small' AND weight_kg % 11 = 0 THEN NULL ELSE received_time END AS received_time,
                CASE WHEN package_type = 'Large' AND weight_kg % 7 = 0 THEN NULL ELSE due_date END AS due_date,
                attempt2_date, attempt2_time, delivered_date, declared_value, updated_at,
                concat_ws(',', CASE WHEN weight_kg = 13 THEN 'weight_kg' END,
+                         CASE WHEN package_type = 'Small' AND weight_kg % 11 = 0 THEN 'received_time' END,
                          CASE WHEN package_type = 'Large' AND weight_kg % 7 = 0 THEN 'due_date' END) AS bad_columns
         FROM shipments""",
+    "findings_type": " UNION ALL ".join(
+        ["SELECT 'shipments' AS table_name, shipment_id AS record_key, 'TYPE_INVALID' AS rule FROM shipments WHERE "
+         + " OR ".join(f"coalesce({c}, false)" for c in SPOILT.values())]
+    ),
+    "verdicts_merged": f"""
+        SELECT k.shipment_id, o.* EXCLUDE (shipment_id), k.copies, k.missing, CAST(0 AS BIGINT) AS invalid,
+               o.shipment_id IS NOT NULL AS survives
+        FROM (SELECT shipment_id, count(*) AS copies,
+                     count(*) FILTER (WHERE {" OR ".join(f"{c} IS NULL" for c in REQUIRED["shipments"])}) AS missing
+              FROM shipments GROUP BY shipment_id) k
+        LEFT JOIN shipments_one o ON k.shipment_id = o.shipment_id""",
     "findings_required": "SELECT * FROM found_required",
     "findings_duplicates": "SELECT * FROM found_duplicates",
     "findings_fk": "SELECT * FROM found_fk",
@@ -487,7 +543,12 @@ STATEMENTS: dict[str, str] = {
     "free_text_masked": """
         SELECT 'ratings' AS table_name, rating_id AS record_key, sha256(comment_text) AS text_hash FROM ratings
         UNION ALL SELECT 'incidents', incident_id, sha256(incident_text) FROM incidents""",
-    "quality_report": "SELECT * FROM quality",
+    "quality_report": """
+        SELECT q.*, n.null_fractions FROM quality q JOIN (
+            SELECT table_name, string_agg(column_name || '=' || CAST(floor(null_fraction * 1000000 + 1e-6) AS BIGINT), ','
+                                          ORDER BY column_name) AS null_fractions
+            FROM (""" + " UNION ALL ".join(_null_profile(t, c.split()) for t, c in NULL_COLUMNS.items()) + """)
+            GROUP BY table_name) n ON q.table_name = n.table_name""",
     "null_profile": " UNION ALL ".join(_null_profile(t, c.split()) for t, c in NULL_COLUMNS.items()),
     **{f"silver_{t}": f"SELECT * FROM {t}_silver" for t in SILVER_NAMES},
     # model
@@ -508,6 +569,7 @@ STATEMENTS: dict[str, str] = {
             "agg_zone_day", "agg_shipper_day", "agg_package_day", "kpi_day",
         )
     },
+    "zone_baseline_carried": f"SELECT * FROM zone_baseline WHERE day >= CAST({CUT} AS DATE)",
     # gate and summary
     "dq_results": "SELECT * FROM dq_gold",
     "dq_results_raw": _gate("shipments", "drivers_silver"),
@@ -516,6 +578,12 @@ STATEMENTS: dict[str, str] = {
         FROM all_counts GROUP BY ROLLUP (layer, table_name)""",
     "run_summary": """
         SELECT batch_id, silver_rows, gold_rows, rejected_rows, quality_alerts, duration_seconds,
+               TIMESTAMP '2024-06-15 12:01:30.5' AS finished_at,
+               '{"batch_id":"b1","status":"SUCCESS","rows_per_layer":{"silver":' || silver_rows || ',"gold":' || gold_rows
+               || '},"rows_per_table":{' || (SELECT string_agg('"' || layer || '.' || table_name || '":' || n, ','
+                                                               ORDER BY layer || '.' || table_name) FROM all_counts)
+               || '},"rejected_rows":' || rejected_rows || ',"quality_alerts":' || quality_alerts
+               || ',"duration_seconds":90.5,"finished_at":"2024-06-15T12:01:30.500Z"}' AS summary,
                'DAILY_SUMMARY | batch_id=b1 | silver=' || silver_rows || ' | gold=' || gold_rows || ' | rejected='
                || rejected_rows || ' | quality_alerts=' || quality_alerts || ' | seconds=90.500' AS summary_line
         FROM (SELECT 'b1' AS batch_id,
@@ -524,6 +592,12 @@ STATEMENTS: dict[str, str] = {
                      (SELECT CAST(sum(rejected_rows) AS BIGINT) FROM quality) AS rejected_rows,
                      (SELECT count(*) FROM dq_gold WHERE status = 'FAIL') AS quality_alerts,
                      CAST(90.5 AS DOUBLE) AS duration_seconds)""",
+    # versions: the second has another day of reference and the rows of a second batch, the third failed its gate
+    "kpi_refreshed": "SELECT * FROM kpi_day",
+    "gold_after_failed_gate": "SELECT CAST(2 AS BIGINT) AS version, * FROM kpi_day",
+    "gold_by_version": """
+        SELECT CAST(1 AS BIGINT) AS version, driver_id, tenure_years FROM dim_driver
+        UNION ALL SELECT 2, driver_id, tenure_years FROM (""" + GOLD["dim_driver"].replace("2024", "2025") + ")",
     # analyst SQL
     "sql_kpi_latest": "SELECT * FROM kpi_day ORDER BY day DESC LIMIT 5",
     "sql_zone_rank": """

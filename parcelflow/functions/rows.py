@@ -1,8 +1,8 @@
-"""Turning a count back into rows."""
+"""Turning a count back into rows, and hashing rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 CHUNK = 10_000
 
@@ -21,3 +21,14 @@ def repeat_rows(df: DataFrame, times: str, ordinal: str, keys: list[str]) -> Dat
         .withColumn(ordinal, F.explode(F.sequence(first, F.least(F.col(times), first + CHUNK - 1))))
         .drop("_chunk", times)
     )
+
+
+def row_hash(columns: list[str]) -> Column:
+    """64-bit hash of the columns in the order of their names; a null counts by its place, too."""
+    names = sorted(columns)
+    return F.xxhash64(*[F.col(c) for c in names], *[F.col(c).isNull() for c in names])
+
+
+def content_sum(columns: list[str]) -> Column:
+    """Sum of row hashes, in which the order of rows does not matter."""
+    return F.sum(row_hash(columns).cast("decimal(38,0)"))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, functions as F
 
 
 def time_of_day_sql(column: str) -> str:
-    """SQL: ``HH:mm:ss`` found in the value, else null.
+    """SQL: the first time of day ``HH:mm:ss`` found in the value, else null; 24:00:00 and the like are none.
 
     Takes a time as text, as a TIME value or as a timestamp carrying a dummy date.
     """
-    return f"try_element_at(regexp_extract_all(CAST({column} AS STRING), '[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}', 0), 1)"
+    return f"try_element_at(regexp_extract_all(CAST({column} AS STRING), '([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]', 0), 1)"
 
 
 def instant(date: str, time: str) -> Column:

@@ -44,6 +44,10 @@ class Mask:
         return f"{self.column}_hash"
 
 
+#: Digits that a number of the source may have before its point; larger ones do not fit their column.
+WHOLE_DIGITS = 16
+
+
 @dataclass(frozen=True)
 class Contract:
     table: str
@@ -68,6 +72,36 @@ class Contract:
         )
 
 
+@dataclass(frozen=True)
+class Sensitive:
+    """One entry of the sensitivity register."""
+
+    table: str
+    column: str
+    tag: str
+    treatment: str
+
+    @property
+    def mask(self) -> Mask | None:
+        """How the column is hashed, if it is; names also where they are missing."""
+        return Mask(self.column, self.tag == "PII_NAME") if self.treatment == "hash_and_drop" else None
+
+
+PII_REGISTER = (
+    Sensitive("drivers", "first_name", "PII_NAME", "hash_and_drop"),
+    Sensitive("drivers", "last_name", "PII_NAME", "hash_and_drop"),
+    Sensitive("drivers", "doc_type", "PII_IDENTIFIER", "restricted"),
+    Sensitive("drivers", "doc_hash", "PII_HASHED", "already_hashed"),
+    Sensitive("ratings", "comment_text", "PII_FREE_TEXT", "hash_and_drop"),
+    Sensitive("incidents", "incident_text", "PII_FREE_TEXT", "hash_and_drop"),
+    Sensitive("incidents", "agent_id", "INTERNAL_IDENTIFIER", "restricted"),
+    Sensitive("shipments", "declared_value", "BUSINESS_SENSITIVE", "restricted"),
+)
+
+def masks_of(table: str) -> tuple[Mask, ...]:
+    return tuple(s.mask for s in PII_REGISTER if s.table == table and s.mask)
+
+
 CONTRACTS: dict[str, Contract] = {
     c.table: c
     for c in (
@@ -103,7 +137,7 @@ CONTRACTS: dict[str, Contract] = {
             required=("driver_id", "hire_date", "home_zone_id"),
             references=(Reference("home_zone_id", "zones"),),
             imputed={"rating_avg": 0.0},
-            masks=(Mask("first_name", True), Mask("last_name", True)),
+            masks=masks_of("drivers"),
         ),
         Contract(
             table="shipments",
@@ -149,7 +183,7 @@ CONTRACTS: dict[str, Contract] = {
             },
             required=("rating_id", "shipment_id", "score"),
             references=(Reference("shipment_id", "shipments"),),
-            masks=(Mask("comment_text", False),),
+            masks=masks_of("ratings"),
         ),
         Contract(
             table="incidents",
@@ -161,33 +195,12 @@ CONTRACTS: dict[str, Contract] = {
             },
             required=("incident_id", "shipment_id", "incident_date"),
             references=(Reference("shipment_id", "shipments"),),
-            masks=(Mask("incident_text", False),),
+            masks=masks_of("incidents"),
         ),
     )
 }
 
 
-@dataclass(frozen=True)
-class Sensitive:
-    """One entry of the sensitivity register."""
-
-    table: str
-    column: str
-    tag: str
-    treatment: str
-
-
-PII_REGISTER = (
-    Sensitive("drivers", "first_name", "PII_NAME", "hash_and_drop"),
-    Sensitive("drivers", "last_name", "PII_NAME", "hash_and_drop"),
-    Sensitive("drivers", "doc_type", "PII_IDENTIFIER", "restricted"),
-    Sensitive("drivers", "doc_hash", "PII_HASHED", "already_hashed"),
-    Sensitive("ratings", "comment_text", "PII_FREE_TEXT", "hash_and_drop"),
-    Sensitive("incidents", "incident_text", "PII_FREE_TEXT", "hash_and_drop"),
-    Sensitive("incidents", "agent_id", "INTERNAL_IDENTIFIER", "restricted"),
-    Sensitive("shipments", "declared_value", "BUSINESS_SENSITIVE", "restricted"),
-)
-
 # Fixed value: result and final status of a delivered shipment in the source.
 DELIVERED = "Entregado"
 

@@ -30,6 +30,30 @@ def zone_baseline(days: DataFrame) -> DataFrame:
     )
 
 
+def recent_days(days: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """zone_id, weekday and their newest observations (day, failure_rate), as many as a baseline takes.
+
+    ``before`` is such a table of earlier days: with it, a small table carries the history from batch to batch.
+    """
+    seen = days.select("zone_id", "weekday", "day", "failure_rate")
+    if before is not None:
+        seen = seen.unionByName(observations(before))
+    newest = Window.partitionBy("zone_id", "weekday").orderBy(F.desc("day"))
+    kept = seen.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= BASELINE_DAYS)
+    return kept.groupBy("zone_id", "weekday").agg(F.sort_array(F.collect_list(F.struct("day", "failure_rate"))).alias("recent"))
+
+
+def observations(recent: DataFrame) -> DataFrame:
+    return recent.select("zone_id", "weekday", F.inline("recent"))
+
+
+def carried_baseline(days: DataFrame, recent: DataFrame) -> DataFrame:
+    """As ``zone_baseline``, for days later than those of ``recent`` and without the days behind these."""
+    earlier = observations(recent).withColumn("_new", F.lit(False))
+    both = days.withColumn("_new", F.lit(True)).unionByName(earlier)
+    return zone_baseline(both).filter("_new").drop("_new")
+
+
 def fact_zone_alert(fact: DataFrame) -> DataFrame:
     """Alerting zone-days; with a baseline of zero any failure alerts."""
     return (

@@ -35,11 +35,3 @@ def finish(df: DataFrame, contract: Contract) -> DataFrame:
 
 def clean_columns(df: DataFrame, contract: Contract) -> list[str]:
     return contract.clean_columns + [c for c in INGEST_COLUMNS if c in df.columns]
-
-
-def clean_schema(contract: Contract) -> str:
-    """Schema text of a cleaned table with its ingest columns."""
-    kinds = {c: "string" if t == "time" else t for c, t in contract.types.items()}
-    kinds |= {m.output: "string" for m in contract.masks} | {f"{c}_missing": "boolean" for c in contract.imputed}
-    columns = {c: kinds[c] for c in contract.clean_columns} | INGEST_COLUMNS
-    return ", ".join(f"{c} {kind}" for c, kind in columns.items())

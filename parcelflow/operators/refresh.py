@@ -12,10 +12,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from parcelflow.functions.rows import content_sum
+
 
 def day_sums(fact: DataFrame) -> DataFrame:
     """day, rows, content: a sum of 64-bit hashes of all columns, in which the order of rows does not matter."""
-    content = F.sum(F.xxhash64(*sorted(fact.columns)).cast("decimal(38,0)")).alias("content")
+    content = content_sum(fact.columns).alias("content")
     return fact.groupBy(F.col("received_date").alias("day")).agg(F.count(F.lit(1)).alias("rows"), content)
 
 

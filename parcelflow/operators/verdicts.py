@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelflow.functions.joins import lookup
 from parcelflow.functions.rows import repeat_rows
 from parcelflow.functions.timeparts import time_of_day_sql
-from parcelflow.model import INGEST_COLUMNS, Contract
+from parcelflow.model import INGEST_COLUMNS, WHOLE_DIGITS, Contract
 
 VERDICT_COLUMNS = ["_copies", "_missing", "_invalid", "_survives", "_broken_ref", "_broken_rules"]
 
@@ -36,7 +36,7 @@ def _always_converts(source: str, kind: str) -> bool:
 def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     """The declared columns in their declared types, with the checks of the row.
 
-    ``_bad`` names the columns that did not convert, or not to a time of day or a finite number;
+    ``_bad`` names the columns that did not convert, or not to a time of day or a number of WHOLE_DIGITS digits;
     their values are null. ``_lacks`` tells whether a required value is absent. Undeclared columns do not pass; declared ones that
     the input lacks are null. Ingest columns are kept where present.
     """
@@ -50,7 +50,8 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
             columns.append(f"{time_of_day_sql(name)} AS {name}")
             bad.append(f"CASE WHEN {name} IS NOT NULL AND {time_of_day_sql(name)} IS NULL THEN '{name}' END")
         elif kind == "double":
-            finite = f"nullif(nullif(nullif(try_cast({name} AS DOUBLE), double('NaN')), double('Infinity')), double('-Infinity'))"
+            # NaN counts as larger than any number
+            finite = f"CASE WHEN abs(try_cast({name} AS DOUBLE)) < 1e{WHOLE_DIGITS}D THEN try_cast({name} AS DOUBLE) END"
             columns.append(f"{finite} AS {name}")
             bad.append(f"CASE WHEN {name} IS NOT NULL AND {finite} IS NULL THEN '{name}' END")
         elif have[name] == kind:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelflow.functions.numeric import UNIT, exact_sum_sql, head_sql, rest_sql
+
 QUERIES = {
     "sql_kpi_latest": """
         SELECT * FROM kpi_day ORDER BY day DESC LIMIT 5""",
@@ -15,16 +17,16 @@ QUERIES = {
                rank() OVER (PARTITION BY z.city_code ORDER BY p.sla_rate DESC NULLS LAST) AS zone_rank
         FROM per_zone p JOIN dim_zone z ON p.zone_id = z.zone_id""",
     # Penalties are summed per shipper before the join: it then moves one row per shipper and package type.
-    "sql_penalty_rollup": """
+    "sql_penalty_rollup": f"""
         WITH per_shipper AS (
             SELECT shipper_id, package_type, count(*) AS shipments,
-                   sum(CAST(estimated_penalty AS DECIMAL(28, 9))) AS penalty
+                   sum({head_sql("estimated_penalty")}) AS penalty, sum({rest_sql("estimated_penalty")}) AS penalty_rest
             FROM fact_shipment GROUP BY shipper_id, package_type)
         SELECT s.industry_segment, f.package_type,
                CAST(grouping(s.industry_segment) AS INT) AS all_segments,
                CAST(grouping(f.package_type) AS INT) AS all_packages,
                CAST(sum(f.shipments) AS BIGINT) AS shipments,
-               CAST(sum(f.penalty) AS DOUBLE) AS penalty_total
+               CAST(sum(f.penalty) AS DOUBLE) + CAST(sum(f.penalty_rest) AS DOUBLE) / {UNIT!r}D AS penalty_total
         FROM per_shipper f JOIN dim_shipper s ON f.shipper_id = s.shipper_id
         GROUP BY ROLLUP (s.industry_segment, f.package_type)""",
     # The window without partition sees one row per day.
@@ -33,10 +35,10 @@ QUERIES = {
                sum(delivered) OVER week / CAST(sum(shipments) OVER week AS DOUBLE) AS success_rate_7d
         FROM kpi_day
         WINDOW week AS (ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
-    "sql_driver_worst": """
+    "sql_driver_worst": f"""
         WITH per_month AS (
             SELECT day_year, day_month, driver_id, count(*) AS days,
-                   CAST(sum(CAST(score AS DECIMAL(28, 9))) AS DOUBLE) / count(*) AS mean_score
+                   {exact_sum_sql("score")} / count(*) AS mean_score
             FROM fact_driver_day GROUP BY day_year, day_month, driver_id),
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY day_year, day_month
