@@ -265,7 +265,8 @@ def publish(run: Run) -> int:
     if run.database:
         for (layer, table), entry in versions.entries(run.spark, run.root, version).items():
             if layer == "gold":
-                layers.register(run.spark, f"{run.database}.{table}", f"{run.root}/{entry.folder}")
+                name, folder = f"{run.database}.{table}", f"{run.root}/{entry.folder}"
+                layers.register(run.spark, name, folder, entry.schema, model.PARTITIONS.get(table))
     return version
 
 

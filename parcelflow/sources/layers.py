@@ -122,13 +122,18 @@ def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     return spark.read.parquet(batch_folder(path, batch_id))
 
 
-def register(spark: SparkSession, name: str, path: str) -> None:
-    """External table over a written folder, created if missing, moved if it lies elsewhere, and refreshed."""
+def register(spark: SparkSession, name: str, path: str, schema: StructType | None = None, partition_by: list[str] | None = None) -> None:
+    """External table over a written folder, created if missing, moved if it lies elsewhere, and refreshed.
+
+    A partitioned folder may be without files, so its columns are given; those of other folders can be inferred.
+    """
     if spark.catalog.tableExists(name):
         details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
         if details["data_type"].removeprefix("file:").rstrip("/") != path.removeprefix("file:").rstrip("/"):
             spark.sql(f"DROP TABLE {name}")  # external: its files stay
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    columns = f"({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)})" if schema else ""
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if schema and partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING parquet {layout} LOCATION '{path}'")
     partitioned = any(column.isPartition for column in spark.catalog.listColumns(name))
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
