@@ -15,11 +15,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from parcelflow.llm.shared import chosen, labelled_texts, map_batches, sampled_texts, texts_as_str
 from parcelflow.llm.tokens import blocks
@@ -29,7 +32,9 @@ EXAMPLES, CALIBRATION = 1_500, 2_000
 #: Parts of the sample, each voted on by the others, for the curve.
 PARTS = 4
 NEAREST = 8
-BLOCK, FIRST_BLOCKS = 64, 4
+BLOCK = 64
+#: Terms that more than one of so many examples have are held as rows of 32-bit numbers; what their sums may be off.
+DENSE_SHARE, ROUNDING = 16, 1e-5
 WORD = re.compile(r"\w+")
 
 
@@ -50,6 +55,12 @@ class BlockMaxIndex:
     entry_first: np.ndarray  # postings of an entry
     example: np.ndarray
     weight: np.ndarray
+    dense_row: np.ndarray  # of a term that many examples have its row in ``dense``, else -1; such a term has no entries
+    dense: np.ndarray  # weights of these terms in every example, rounded to 32 bits
+    own_first: np.ndarray  # the examples as they are: terms and weights of one after another
+    own_term: np.ndarray
+    own_weight: np.ndarray
+    given: np.ndarray  # weights of the document being searched, by term; zeros in between
 
     @classmethod
     def build(cls, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> "BlockMaxIndex":
@@ -57,54 +68,78 @@ class BlockMaxIndex:
         heaviest = [int(t[np.argmax(w)]) if len(t) else terms for t, w in vectors]
         order = sorted(range(len(ids)), key=lambda i: (heaviest[i], ids[i]))
         sizes = [len(vectors[i][0]) for i in order]
-        example = np.repeat(np.arange(len(order)), sizes)
-        term = np.concatenate([np.array([], np.int64), *[vectors[i][0] for i in order]]).astype(np.int64)
+        example = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        term = np.concatenate([np.array([], np.int32), *[vectors[i][0] for i in order]]).astype(np.int32)
         weight = np.concatenate([np.array([]), *[vectors[i][1] for i in order]])
+        own_term, own_weight = term, weight
+        frequent = np.flatnonzero(np.bincount(term, minlength=terms) * DENSE_SHARE > len(order))
+        dense_row = np.full(terms, -1, np.int32)
+        dense_row[frequent] = np.arange(len(frequent))
+        dense = np.zeros((len(frequent), len(order)), np.float32)
+        many = dense_row[term] >= 0
+        dense[dense_row[term[many]], example[many]] = weight[many]
+        term, example, weight = term[~many], example[~many], weight[~many]
         by = np.lexsort((example, term))
         term, example, weight = term[by], example[by], weight[by]
         block = example // BLOCK
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(new)
+        term_first = np.searchsorted(term[first], np.arange(terms + 1))
+        entry_max = np.maximum.reduceat(weight, first) if len(first) else np.array([])
         return cls(
             [ids[i] for i in order],
             np.array([labels[i] for i in order], np.float64),
-            np.searchsorted(term[first], np.arange(terms + 1)),
+            term_first,
             block[first],
-            np.maximum.reduceat(weight, first) if len(first) else np.array([]),
+            entry_max,
             np.append(first, len(term)),
             example,
             weight,
+            dense_row,
+            dense,
+            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+            own_term,
+            own_weight,
+            np.zeros(terms),
         )
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k examples nearest to a unit vector, ties to the earlier; only positive cosines."""
-        entries = stretches(self.term_first[terms], self.term_first[terms + 1])
-        if not len(entries):
+        """Places and cosines of the k examples nearest to a unit vector, ties to the earlier; only positive cosines.
+
+        Frequent terms are added up for all examples at once. With what the other terms can add at most in a block,
+        these sums tell in which blocks postings must be opened. The examples whose sum then reaches the k-th, less
+        what rounding may have cost, are compared by the cosines of their whole vectors.
+        """
+        n, rows = len(self.ids), self.dense_row[terms]
+        if not n:
             return np.array([], np.int64), np.array([])
-        given = np.repeat(weights, self.term_first[terms + 1] - self.term_first[terms])
-        bounds = np.bincount(self.entry_block[entries], given * self.entry_max[entries])
-        blocks_left = np.argsort(-bounds, kind="stable")
-        blocks_left = blocks_left[bounds[blocks_left] > 0]
-        places, cosines = np.array([], np.int64), np.array([])
-        # the blocks of the largest bounds, then all others that can hold a nearer example
-        for chosen_blocks in (blocks_left[:FIRST_BLOCKS], blocks_left[FIRST_BLOCKS:]):
-            if len(cosines) >= k:
-                chosen_blocks = chosen_blocks[bounds[chosen_blocks] + 1e-9 >= cosines[k - 1]]
-            if not len(chosen_blocks):
-                break
-            opened = np.zeros(len(bounds), bool)
-            opened[chosen_blocks] = True
-            here = opened[self.entry_block[entries]]
-            own, factor = entries[here], given[here]
-            firsts, stops = self.entry_first[own], self.entry_first[own + 1]
-            postings = stretches(firsts, stops)
-            sums = np.bincount(self.example[postings], np.repeat(factor, stops - firsts) * self.weight[postings])
-            hit = np.flatnonzero(sums > 0)
-            places, cosines = np.concatenate([places, hit]), np.concatenate([cosines, sums[hit]])
-            best = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[best], cosines[best]
-        return places, cosines
+        frequent = rows >= 0
+        sums = (weights[frequent].astype(np.float32) @ self.dense[rows[frequent]]).astype(np.float64) + ROUNDING
+        rare = terms[~frequent]
+        firsts, stops = self.term_first[rare], self.term_first[rare + 1]
+        entries = stretches(firsts, stops)
+        if len(entries):
+            factor = np.repeat(weights[~frequent], stops - firsts)
+            block = self.entry_block[entries]
+            most = np.bincount(block, factor * self.entry_max[entries], minlength=-(-n // BLOCK))
+            least = np.partition(sums, n - k)[n - k] if n > k else 0.0
+            best = np.maximum.reduceat(sums, np.arange(0, n, BLOCK))
+            here = np.flatnonzero((best + most + 2 * ROUNDING >= least)[block])
+            begin, end = self.entry_first[entries[here]], self.entry_first[entries[here] + 1]
+            postings = stretches(begin, end)
+            sums += np.bincount(self.example[postings], np.repeat(factor[here], end - begin) * self.weight[postings], minlength=n)
+        least = np.partition(sums, n - k)[n - k] if n > k else 0.0
+        left = np.flatnonzero((sums + 2 * ROUNDING >= least) & (sums > 0))
+        begin, end = self.own_first[left], self.own_first[left + 1]
+        own = stretches(begin, end)
+        self.given[terms] = weights
+        products = self.given[self.own_term[own]] * self.own_weight[own]
+        self.given[terms] = 0
+        cosines = np.bincount(np.repeat(np.arange(len(left)), end - begin), products, minlength=len(left))
+        left, cosines = left[cosines > 0], cosines[cosines > 0]
+        found = np.lexsort((left, -cosines))[:k]
+        return left[found], cosines[found]
 
 
 def stretches(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -119,12 +154,14 @@ class Model:
     weights: np.ndarray  # of a word that occurs once
     index: BlockMaxIndex
     prior: float  # share of label 1 among labelled documents
+    id_type: DataType  # of the examples' ids
     slope: float = 0.0
     offset: float = 0.0
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = self.terms
-        return unit_vector({known[w]: n for w, n in counts.items() if w in known}, self.weights)
+        terms = np.fromiter(map(self.terms.get, counts, repeat(-1)), np.int64, len(counts))
+        met = terms >= 0
+        return unit(terms[met], np.fromiter(counts.values(), np.float64, len(counts))[met], self.weights)
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray]:
         """Share of label 1 among the neighbours by cosine, drawn to the prior by a tenth of a neighbour."""
@@ -145,11 +182,11 @@ class Model:
 
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their weights (1 + ln count) * idf (or another weight of the term), of length 1."""
     return unit(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts)), idf)
 
 
 def unit(terms: np.ndarray, numbers: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms in order and their weights (1 + ln count) * idf (or another weight of the term), of length 1."""
     order = np.argsort(terms)
     terms = terms[order]
     weights = (1 + np.log(numbers[order])) * idf[terms]
@@ -158,7 +195,7 @@ def unit(terms: np.ndarray, numbers: np.ndarray, idf: np.ndarray) -> tuple[np.nd
 
 def class_weights(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """idf * (1 + chi-squared) of every term, by the examples of each label that have it (Yates's correction)."""
-    term = np.concatenate([np.array([], np.int64), *[v[0] for v in vectors]]).astype(np.int64)
+    term = np.concatenate([np.array([], np.int32), *[v[0] for v in vectors]]).astype(np.int32)
     toxic = np.repeat(labels, [len(v[0]) for v in vectors])
     a = np.bincount(term, toxic, minlength=len(idf))
     b = np.bincount(term, 1 - toxic, minlength=len(idf))
@@ -250,6 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label"))
         .filter("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
     )
+    kind = docs.schema[doc_id].dataType
     share = labelled.agg(F.avg("label").alias("prior")).first()["prior"]
     prior = 0.5 if share is None else float(share)
     rows = sample(docs, labelled, doc_id, text).toArrow().sort_by([("_id", "ascending"), ("role", "ascending")])
@@ -257,12 +295,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     known = rows["label"].to_numpy().astype(np.float64)
     if not 0 < known.sum() < len(known):
         nothing = BlockMaxIndex.build([], [], [], 0)
-        return Model({}, np.array([]), nothing, prior, offset=float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
+        return Model({}, np.array([]), nothing, prior, kind, offset=float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
     ends = np.cumsum(pc.list_value_length(rows["terms"]).to_numpy())
     coded = pa.chunked_array(pc.list_flatten(rows["terms"]).chunks, pa.string()).combine_chunks().dictionary_encode()
     terms = {w: i for i, w in enumerate(coded.dictionary.to_pylist())}
-    numbers = pc.list_flatten(rows["counts"]).to_numpy()
-    vectors = list(zip(np.split(coded.indices.to_numpy().astype(np.int64), ends[:-1]), np.split(numbers, ends[:-1])))
+    numbers = pc.list_flatten(rows["counts"]).to_numpy().astype(np.int32)
+    vectors = list(zip(np.split(coded.indices.to_numpy().astype(np.int32), ends[:-1]), np.split(numbers, ends[:-1])))
     del rows, coded, numbers
     number, df = document_frequencies(docs, terms, text)
     idf = np.log((1 + number) / (1 + df)) + 1
@@ -271,7 +309,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         weights = class_weights([vectors[i] for i in own], known[own], idf)
         units = [unit(*vectors[i], weights) for i in own]
         index = BlockMaxIndex.build([ids[i] for i in own], [int(known[i]) for i in own], units, len(terms))
-        return Model(terms, weights, index, prior)
+        return Model(terms, weights, index, prior, kind)
 
     # the parts hold each label in equal numbers
     shuffled = np.random.default_rng(7).permutation(len(ids))
@@ -295,13 +333,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
     The score is the probability of label 1; ``evidence`` lists the nearest examples: doc_id, cosine,
     label. A text without known terms, an empty or a null one, has no neighbours and the score of such
-    texts. Repeated rows give repeated results; an empty table gives none.
+    texts. Whole texts count, however long; ids may be of any type. Of equally near examples those count that come
+    first in the index (by heaviest term, then id). Repeated rows give repeated results; an empty table gives none.
     """
     keep = docs.columns if keep is None else keep
     inner = [f"_{i}" for i in range(len(keep))]
     types = [docs.schema[c].dataType.simpleString() for c in keep]
-    schema = ", ".join([f"{n} {t}" for n, t in zip(inner, types)] + ["_score double", "_evidence array<struct<doc_id:bigint,cosine:double,label:int>>"])
-    shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+    schema = ", ".join([f"{n} {t}" for n, t in zip(inner, types)] + [f"_score double", "_evidence array<struct<doc_id:{model.id_type.simpleString()},cosine:double,label:int>>"])
+    shape = pa.list_(pa.struct([("doc_id", to_arrow_type(model.id_type)), ("cosine", pa.float64()), ("label", pa.int32())]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

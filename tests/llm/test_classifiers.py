@@ -189,3 +189,12 @@ def test_without_labels_or_documents(spark, operator, name):
     assert all(r["score"] > 0.9 for r in operator.score(documents, one_class).collect())
     assert operator.score(documents.limit(0), one_class).count() == 0
     assert operator.score(documents.limit(0), operator.train(documents.limit(0), labelled)).count() == 0
+
+
+def test_toxicity_with_ids_that_are_text(spark):
+    docs = [(f"d{i}", "kind words of a calm day " + str(i % 7)) for i in range(40)] + [(f"t{i}", "vile rotten words " + str(i % 5)) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id string, text string")
+    labels = spark.createDataFrame([(d, int(d[0] == "t")) for d, _ in docs], "doc_id string, toxic int")
+    found = toxicity.score(frame, toxicity.train(frame, labels), keep=["doc_id"]).collect()
+    assert all((r["score"] >= 0.5) == (r["row"]["doc_id"][0] == "t") for r in found)
+    assert all(isinstance(e["doc_id"], str) for r in found for e in r["evidence"])
