@@ -339,7 +339,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     keep = docs.columns if keep is None else keep
     inner = [f"_{i}" for i in range(len(keep))]
     types = [docs.schema[c].dataType.simpleString() for c in keep]
-    schema = ", ".join([f"{n} {t}" for n, t in zip(inner, types)] + [f"_score double", "_evidence array<struct<doc_id:{model.id_type.simpleString()},cosine:double,label:int>>"])
+    schema = ", ".join([f"{n} {t}" for n, t in zip(inner, types)] + ["_score double", f"_evidence array<struct<doc_id:{model.id_type.simpleString()},cosine:double,label:int>>"])
     shape = pa.list_(pa.struct([("doc_id", to_arrow_type(model.id_type)), ("cosine", pa.float64()), ("label", pa.int32())]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
