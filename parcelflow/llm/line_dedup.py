@@ -8,9 +8,8 @@
    which of them the document must drop. No line is joined with another.
 4. The answers meet their documents, which leave out the lines.
 
-A hash that a ten-thousandth of all (document, line) pairs or more share would send them all to one
-shard. There are at most 10,000 such hashes, whatever the size of the corpus; the documents hold them
-as a list and look them up themselves.
+A line that very many documents hold sends as many questions to its shard. A shard therefore has as many
+copies as its questions need, and each batch of documents asks one of them.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
@@ -28,9 +28,7 @@ from parcelflow.llm.perfect_hash import PerfectHash
 from parcelflow.llm.shared import ASCII_SPACE, map_batches, written
 from parcelflow.llm.tokens import blocks
 
-#: A hash with this share of all (document, line) pairs or more is looked up by the documents themselves.
-HOT_SHARE = 10_000
-#: Aimed at in a shard: distinct hashes indexed, and hashes asked for.
+#: Aimed at in a shard: distinct hashes indexed, and hashes asked of each copy of it.
 KEYS_PER_SHARD, PROBES_PER_SHARD = 200_000, 500_000
 
 NO_DOCUMENT = np.iinfo(np.int64).min
@@ -139,20 +137,25 @@ def unsigned_modulo(column: str, n: int):
     return (high * 2 + F.col(column).bitwiseAND(1)) % n
 
 
-def probes(docs: DataFrame, min_chars: int, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """What documents ask: per batch and shard one row of doc ids and hashes, packed."""
-    hot_pairs = set(zip(*(h.tolist() for h in hot)))
-    hot_low = np.sort(hot[0])
+def copies_of_shards(repeated: DataFrame, shards: int, pairs: int) -> np.ndarray:
+    """How many copies each shard has: one for every PROBES_PER_SHARD documents that hold one of its hashes."""
+    held = repeated.groupBy(unsigned_modulo("low", shards).alias("shard")).agg(F.sum("n").alias("n")).collect()  # a row for each shard
+    asked = np.full(shards, pairs // shards, np.int64)  # hashes that are not indexed spread evenly
+    for r in held:
+        asked[r["shard"]] += r["n"]
+    return 1 + asked // PROBES_PER_SHARD
+
+
+def probes(docs: DataFrame, min_chars: int, copies: np.ndarray) -> DataFrame:
+    """What documents ask: per batch and shard one row of doc ids and hashes, packed, for one of the shard's copies."""
+    shards = len(copies)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
         for block in blocks(batches):
             found = split(block.column(1), min_chars)
             own = distinct_per_row(found)
             low, high = found.low[own], found.high[own]
-            if len(hot_low):
-                maybe = np.flatnonzero(np.isin(low, hot_low))
-                known = [i for i in maybe.tolist() if (int(low[i]), int(high[i])) in hot_pairs]
-                own, low, high = np.delete(own, known), np.delete(low, known), np.delete(high, known)
             shard = (low % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             packed = np.column_stack(
@@ -163,12 +166,14 @@ def probes(docs: DataFrame, min_chars: int, shards: int, hot: tuple[np.ndarray,
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(present, pa.int64()),
+                    pa.array(turn % copies[present], pa.int64()),
                     pa.array([packed[s:e].tobytes() for s, e in zip(starts.tolist(), ends)], pa.binary()),
                 ],
-                ["shard", "asked"],
+                ["shard", "copy", "asked"],
             )
+            turn += 1
 
-    return map_batches(docs, work, "shard bigint, asked binary")
+    return map_batches(docs, work, "shard bigint, copy bigint, asked binary")
 
 
 def answers(asked: DataFrame, index: DataFrame) -> DataFrame:
@@ -194,7 +199,8 @@ def answers(asked: DataFrame, index: DataFrame) -> DataFrame:
                 hits += [rows[s:e, 1:].tobytes() for s, e in zip(starts.tolist(), ends)]
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "drop": pa.array(hits, pa.binary())})
 
-    return asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(probe, "doc_id bigint, drop binary")
+    at = ["shard", "copy"]
+    return asked.groupBy(*at).cogroup(index.groupBy(*at)).applyInArrow(probe, "doc_id bigint, drop binary")
 
 
 def dedup_lines(
@@ -212,7 +218,7 @@ def dedup_lines(
     case; keys shorter than ``min_chars`` code points always stay. A null or empty text is one empty line.
     Rows that share a doc_id each count as a document holding the line, and if theirs is the largest
     doc_id all keep it; rows with a null doc_id rank below all others. An empty table gives no rows.
-    doc_id is an integer column. The input's columns named in ``keep`` pass as ``kept_columns``, a struct; others do not.
+    Whole texts count, however long. doc_id is an integer column. The input's columns named in ``keep`` pass as ``kept_columns``, a struct; others do not.
     """
     inner = [f"_{i}" for i in range(len(keep or []))]
     types = [docs.schema[c].dataType.simpleString() for c in keep or []]
@@ -228,30 +234,27 @@ def dedup_lines(
     ).first()
     repeated = counted.filter(F.col("n") >= min_docs)
     shards = 1 + max(sums["keys"] // KEYS_PER_SHARD, sums["pairs"] // PROBES_PER_SHARD)
-    hot = repeated.filter(F.col("n") * HOT_SHARE >= sums["pairs"]).select("low", "high", "keeper").toPandas()
-    hot_keys = tuple(hot[c].to_numpy(np.int64).view(np.uint64) for c in ("low", "high"))
-    keeper_of = dict(zip(zip(*(h.tolist() for h in hot_keys)), hot["keeper"].tolist()))
-
-    index = build_index(repeated, shards)
-    replies = answers(probes(own, min_chars, shards, hot_keys), index)
+    copies = copies_of_shards(repeated, shards, sums["pairs"])
+    # a small row for each busy shard
+    busy = [(int(s), int(copies[s])) for s in np.flatnonzero(copies > 1)]
+    numbers = docs.sparkSession.createDataFrame(busy, "shard bigint, copies bigint")
+    last = F.coalesce("copies", F.lit(1)).cast("bigint") - 1
+    index = build_index(repeated, shards).join(numbers, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("copies")
+    replies = answers(probes(own, min_chars, copies), index)
     per_doc = replies.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("drop").alias("_drop"))
     asked = F.coalesce(whole["doc_id"], F.lit(int(NO_DOCUMENT)))
     met = whole.join(per_doc.hint("shuffle_hash"), asked == per_doc["_doc"], "left").select("doc_id", "text", "_drop", *inner)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_low = np.sort(hot_keys[0])
         for block in blocks(batches):
             found = split(block.column(1), min_chars)
-            ids = document_ids(block.column(0))
             dropped = np.zeros(len(found.lines), bool)
             told = [b"".join(d or []) for d in block.column(2).to_pylist()]
             pairs = np.frombuffer(b"".join(told), "<u8").reshape(-1, 2)
             row = np.repeat(np.arange(len(told)), [len(t) // 16 for t in told])
             listed = set(zip(row.tolist(), pairs[:, 0].tolist(), pairs[:, 1].tolist()))
-            maybe = np.isin(found.low, pairs[:, 0]) | np.isin(found.low, hot_low)
-            for i in np.flatnonzero(maybe).tolist():
-                r, key = int(found.row[i]), (int(found.low[i]), int(found.high[i]))
-                if (r, *key) in listed or (key in keeper_of and keeper_of[key] != ids[r]):
+            for i in np.flatnonzero(np.isin(found.low, pairs[:, 0])).tolist():
+                if (int(found.row[i]), int(found.low[i]), int(found.high[i])) in listed:
                     dropped[found.at[i]] = True
             before = np.concatenate([[0], np.cumsum(found.counts)])
             gone = np.concatenate([[0], np.cumsum(dropped)])[before]

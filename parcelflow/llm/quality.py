@@ -19,13 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from parcelflow.llm.shared import chosen, map_batches, written
+from parcelflow.llm.shared import chosen, labelled_texts, map_batches, sampled_texts, written
 from parcelflow.llm.tokens import blocks
 
 #: Words of a passage.
 PASSAGE_WORDS = 64
-#: Default of ``encode`` alone, which training and scoring never take: most passages of a text, longer in longer texts.
-MOST_PASSAGES = 64
 #: Bytes of a slice by which long texts are encoded, and passages by which a group of documents is learnt.
 SLICE_BYTES, SLICE_PASSAGES = 4_000_000, 50_000
 #: Bound of the sample: labelled documents of each class.
@@ -43,12 +41,10 @@ MARKS = np.unique(BYTE_CLASS)  # classes that occur
 FEATURES = len(MARKS) + 6
 
 
-def encode(texts: pa.Array, most: int | None = MOST_PASSAGES) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Features of the passages of each text, and where those of each text begin and end.
 
-    Without ``most`` every passage has PASSAGE_WORDS words, the last one of a text fewer.
-
-    Per passage: square roots of the shares of the byte classes, mean and spread of word lengths, shares of
+    Every passage has PASSAGE_WORDS words, the last one of a text fewer. Per passage: square roots of the shares of the byte classes, mean and spread of word lengths, shares of
     distinct words, of the most frequent word, and of words without letters, and the logarithm of their
     number. A text without words is one passage of zeros.
     """
@@ -61,11 +57,10 @@ def encode(texts: pa.Array, most: int | None = MOST_PASSAGES) -> tuple[np.ndarra
     starts = dark[np.diff(dark, prepend=-2) > 1]
     word_ends = np.searchsorted(starts, bounds)
     words = np.diff(word_ends, prepend=0)
-    length = np.maximum(PASSAGE_WORDS, -(-words // most) if most else words * 0)
-    passages = np.maximum(1, -(-words // length))
+    passages = np.maximum(1, -(-words // PASSAGE_WORDS))
     ends = np.cumsum(passages)
     text = np.repeat(np.arange(len(words)), words)
-    passage = (ends - passages)[text] + (np.arange(len(starts)) - (word_ends - words)[text]) // length[text]
+    passage = (ends - passages)[text] + (np.arange(len(starts)) - (word_ends - words)[text]) // PASSAGE_WORDS
     n = int(ends[-1]) if len(ends) else 0
 
     word = np.searchsorted(starts, dark, side="right") - 1
@@ -119,13 +114,13 @@ def encode_slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.
     for i, text in enumerate(pc.fill_null(texts, "").cast(pa.large_binary())):
         for part in slices(text.as_py()):
             if held and size + len(part) > 2 * SLICE_BYTES:
-                yield *encode(pa.array(held, pa.large_binary()), None), np.array(place)
+                yield *encode(pa.array(held, pa.large_binary())), np.array(place)
                 held, place, size = [], [], 0
             held.append(part)
             place.append(i)
             size += len(part)
     if held:
-        yield *encode(pa.array(held, pa.large_binary()), None), np.array(place)
+        yield *encode(pa.array(held, pa.large_binary())), np.array(place)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -252,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     """A network from at most EXAMPLES labelled documents of each class, weighted to the classes' shares.
 
     ``labels`` has doc_id and a 0/1 column; rows without either are left out, a document labelled both
-    ways counts as 1. Without documents of both classes the result is a constant score: the share of label
+    ways counts as 1, and of documents that share an id one text counts. Without documents of both classes the result is a constant score: the share of label
     1, or 0.5 without labels.
     """
     labelled = (
@@ -260,8 +255,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
         .filter("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
     )
     sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    ids = chosen(labelled.filter("label = 0"), EXAMPLES, "_id").unionByName(chosen(labelled.filter("label = 1"), EXAMPLES, "_id"))
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")).join(F.broadcast(ids), "_id")
+    known = labelled_texts(docs, labelled, doc_id, text)
+    ids = chosen(known.filter("label = 0"), EXAMPLES, "_id").unionByName(chosen(known.filter("label = 1"), EXAMPLES, "_id"))
+    texts = sampled_texts(docs, ids, doc_id, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):

@@ -131,7 +131,7 @@ def test_gradients_are_those_of_the_loss():
 def test_passages_cover_the_whole_text():
     texts = ["one two two THREE!! 4", None, "", " \n ", "é " * 70, "ab " * 10_000]
     features, bounds = quality.encode(pa.array(texts, pa.string()))
-    assert np.diff(bounds).tolist() == [1, 1, 1, 1, 2, 64] and features.shape[1] == quality.FEATURES
+    assert np.diff(bounds).tolist() == [1, 1, 1, 1, 2, 157] and features.shape[1] == quality.FEATURES
     mean, _, distinct, most, bare, count = features[0, -6:]
     assert np.allclose([mean * 10, distinct, most, bare], [(3 + 3 + 3 + 7 + 1) / 5, 4 / 5, 2 / 5, 1 / 5])
     assert not features[1].any() and np.allclose(np.expm1(features[bounds[5]:, -1] * 5).sum(), 10_000)
@@ -144,7 +144,7 @@ def test_long_texts_have_passages_of_one_length(monkeypatch):
     texts = ["", None, " \n "] + [" ".join(draw.choice(["ab", "C!", "foo12", "é"]) for _ in range(n)) for n in (1, 64, 65, 20_000)]
     column = pa.array(texts, pa.string())
     network = quality.Network.fresh(np.zeros(quality.FEATURES), np.ones(quality.FEATURES))
-    features, bounds = quality.encode(column, None)
+    features, bounds = quality.encode(column)
     expected = network.forward(features, bounds)
     assert np.diff(bounds).tolist() == [1, 1, 1, 1, 1, 2, 313]
     own, labels = np.arange(7), np.array([0, 1, 0, 1, 0, 1, 0.0])
@@ -198,3 +198,16 @@ def test_toxicity_with_ids_that_are_text(spark):
     found = toxicity.score(frame, toxicity.train(frame, labels), keep=["doc_id"]).collect()
     assert all((r["score"] >= 0.5) == (r["row"]["doc_id"][0] == "t") for r in found)
     assert all(isinstance(e["doc_id"], str) for r in found for e in r["evidence"])
+
+
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    """A third of all rows share one labelled id: the driver still gets EXAMPLES rows of a class at most."""
+    monkeypatch.setattr(quality, "EXAMPLES", 5)
+    docs = [(i, f"plain words of document {i} " * 9) for i in range(20)] + [(3, f"copy {i} of a text " * 7) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(20)], "doc_id bigint, quality int")
+    held = []
+    real = quality.written
+    monkeypatch.setattr(quality, "written", lambda df, name: held.append(out := real(df, name)) or out)
+    quality.train(frame, labels)
+    assert held[0].count() == 10

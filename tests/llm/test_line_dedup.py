@@ -52,9 +52,7 @@ CORNERS = [
 def test_lines_go_as_in_plain_python(spark, monkeypatch, small_shards):
     if small_shards:
         monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 4)
-        monkeypatch.setattr(line_dedup, "HOT_SHARE", 25)  # some hashes are looked up by the documents
-    else:
-        monkeypatch.setattr(line_dedup, "HOT_SHARE", 1)
+        monkeypatch.setattr(line_dedup, "PROBES_PER_SHARD", 10)  # shards have copies
     docs = random_docs(90, 1) + CORNERS
     # the column n clashes with one the operator makes
     frame = spark.createDataFrame([(d, t, "n") for d, t in docs], "doc_id bigint, text string, n string").repartition(3)
@@ -64,6 +62,22 @@ def test_lines_go_as_in_plain_python(spark, monkeypatch, small_shards):
     assert {tuple(r["kept_columns"]) for r in found} == {("n", d) for d, _ in docs}
 
 
+def test_busy_shards_have_copies(spark, monkeypatch):
+    """A line that a third of all documents hold is answered by its shard, like any other."""
+    monkeypatch.setattr(line_dedup, "PROBES_PER_SHARD", 20)
+    shared = "this line stands in a third of all documents"
+    docs = [(i, f"a line of document {i:06d} alone" + (f"\n{shared}" if i % 3 == 0 else "")) for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    counted = line_dedup.line_counts(frame, 20)
+    repeated = counted.filter("n >= 3")
+    pairs = counted.agg({"n": "sum"}).first()[0]
+    copies = line_dedup.copies_of_shards(repeated, 1 + pairs // 20, pairs)
+    assert copies.max() >= 5 and copies.sum() < 60
+    found = line_dedup.dedup_lines(frame).collect()
+    assert sum(r["n_dropped"] for r in found) == 99
+    assert [r["doc_id"] for r in found if r["doc_id"] % 3 == 0 and not r["n_dropped"]] == [297]
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.dedup_lines(empty).count() == 0
