@@ -208,3 +208,15 @@ def test_silver_schema_is_the_contract(raw):
         for column, kind in contract.types.items():
             if column in kinds:
                 assert kinds[column] == ("string" if kind == "time" else kind)
+
+
+def test_times_and_numbers_out_of_range_are_findings(raw):
+    tables = raw([shipment(1, received_time="25:99:99"), shipment(2, declared_value=1e19), shipment(3, weight_kg=float("nan")), shipment(4)])
+    assert found(tables) == [("S1", "TYPE_INVALID"), ("S2", "TYPE_INVALID"), ("S3", "TYPE_INVALID")]
+
+
+def test_masks_come_from_the_register():
+    for table, contract in CONTRACTS.items():
+        hidden = {s.column for s in PII_REGISTER if s.table == table and s.treatment == "hash_and_drop"}
+        assert {m.column for m in contract.masks} == hidden
+        assert all(m.mandatory == (next(s.tag for s in PII_REGISTER if s.column == m.column) == "PII_NAME") for m in contract.masks)

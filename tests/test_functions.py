@@ -1,3 +1,5 @@
+import math
+import random
 from datetime import datetime
 
 import pytest
@@ -26,7 +28,7 @@ def test_end_of_day_keeps_null(spark):
     assert rows(df.select(timeparts.end_of_day("d").cast("string").alias("x"))) == [(None,), ("2024-01-31 23:59:59",)]
 
 
-@pytest.mark.parametrize("value, expected", [(0.285, 0.29), (0.7849999999999999, 0.79), (0.784, 0.78), (-0.5, -0.5)])
+@pytest.mark.parametrize("value, expected", [(0.285, 0.29), (0.7849999999999999, 0.79), (0.784, 0.78), (-0.5, -0.5), (-0.125, -0.13), (-0.001, 0.0)])
 def test_half_up(spark, value, expected):
     assert spark.range(1).select(numeric.half_up(F.lit(value), 2)).first()[0] == expected
 
@@ -40,6 +42,23 @@ def test_exact_sums_do_not_depend_on_order(spark):
     assert len(sums) == 1
 
 
+def test_sums_are_not_cut(spark):
+    """Small values count, large ones do not fail, and the sum is as near as adding without rounding."""
+    small = spark.createDataFrame([(1e-10,), (2e-10,), (3e-10,)], "x double")
+    assert small.agg(numeric.exact_sum("x")).first()[0] == pytest.approx(6e-10, rel=1e-5)
+    large = spark.createDataFrame([(1e19,), (2.5,), (1e25,)], "x double")
+    assert large.agg(numeric.exact_sum("x")).first()[0] == 1e25 + 1e19
+    draw = random.Random(2)
+    values = [draw.uniform(-1e6, 1e6) for _ in range(500)]
+    assert spark.createDataFrame([(v,) for v in values], "x double").agg(numeric.exact_sum("x")).first()[0] == pytest.approx(math.fsum(values), rel=1e-15)
+
+
+def test_times_of_day_have_their_range(spark):
+    given = ["25:99:99", "24:00:00", "23:59:59", "at 07:15:00 or 08:00:00", "7:15:00", "12:60:00", None]
+    frame = spark.createDataFrame([(t,) for t in given], "t string")
+    assert [r[0] for r in frame.selectExpr(timeparts.time_of_day_sql("t")).collect()] == [None, None, "23:59:59", "07:15:00", None, None, None]
+
+
 def test_exact_mean_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.agg(numeric.exact_mean("x")).first()[0] is None
