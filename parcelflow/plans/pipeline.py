@@ -126,7 +126,8 @@ def ingest_all(
             records, written = ingest.append_raw(stamped, f"{run.root}/bronze", table, run.batch_id, instant)
         except Exception as error:
             failures[table] = error
-        moved = table not in failures and until > rows[table]["watermark"]
+        mark = before["watermark"] if before else rows[table]["watermark"]
+        moved = table not in failures and not before and until > mark
         return {
             "batch_id": run.batch_id,
             "table_name": table,
@@ -140,7 +141,7 @@ def ingest_all(
             "ingested_at": instant,
             "from_start": from_start,
             "ingested_on": f"{instant:%Y-%m-%d}",
-            "watermark": until if moved else rows[table]["watermark"],
+            "watermark": until if moved else mark,
             "sequence": sequence,
         }
 
