@@ -12,6 +12,7 @@ copies it is linked with and one neighbour of its group, so no list of all pairs
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelflow.llm.components import components
 from parcelflow.llm.shared import map_batches, ship, written
-from parcelflow.llm.vectors import dimension, matrix, usable
+from parcelflow.llm.vectors import lengths, matrix, usable
 
 TABLES, HASHES, PROBES = 8, 2, 4
 #: Members of a bucket that are compared at a time: larger buckets are cut into parts, every two of which meet.
@@ -179,9 +180,9 @@ def near_duplicates(
     """Links between vectors with a cosine of at least ``threshold`` and equal, non-null labels.
 
     Returns vec_id, n_links (other rows linked directly), component_id (smallest vec_id reachable by links)
-    and kept (whether that is the row's own), one row per input row. Vectors that are null, zero, hold null or
-    non-finite components, or have another length than most link with nothing, nor do those without a label; they are
-    components of their own. Rows with equal vectors and labels are linked with each other, repeated rows among
+    and kept (whether that is the row's own), one row per input row. Vectors that are null, zero, or hold null or
+    non-finite components link with nothing, nor do those without a label; they are components of their own. Vectors
+    are compared with those of their length. Rows with equal vectors and labels are linked with each other, repeated rows among
     them. A null vec_id names a component only if all its rows lack one; such a row is kept. An empty table
     gives no rows; other columns do not pass. With ``label`` None all rows are compared. Linked pairs are found with a
     probability that grows with their cosine (over 0.99 at a cosine of 0.93 in 64 dimensions); none below the
@@ -192,13 +193,14 @@ def near_duplicates(
         F.col(row_id).alias("vec_id"), F.col(vector).alias("vector"), (F.lit(0) if label is None else F.col(label)).alias("label")
     )
     able = own.filter(usable("vector") & F.col("label").isNotNull())
-    able = able.filter(F.size("vector") == dimension(able, "vector"))
     classes = written(
         able.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("smallest"))
         .withColumn("node", F.monotonically_increasing_id()),
         "vector-classes",
     )
-    found = written(compared(classes, threshold), "vector-links")
+    # vectors of each length have rotations and buckets of their own
+    each = [compared(classes.filter(F.size("vector") == d), threshold) for d in lengths(classes, "vector") or [0]]
+    found = written(reduce(DataFrame.unionByName, each), "vector-links")
     grouped = components(found.select(F.col("node").alias("a"), F.col("anchor").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = (

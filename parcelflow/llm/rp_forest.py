@@ -12,13 +12,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelflow.llm.shared import chosen, map_batches, ship, written
-from parcelflow.llm.vectors import dimension, matrix, usable
+from parcelflow.llm.vectors import lengths, matrix, usable
 
 #: Bounds of the model: sampled vectors, trees, and levels of a tree.
 SAMPLE, TREES, LEVELS = 8_192, 8, 8
@@ -105,23 +106,28 @@ def nearest(
     """The ``k`` nearest rows found for every row that ``queries`` (a condition on the input) picks.
 
     Returns query_id, rank (from 1), vec_id, score (Euclidean distance in double precision), nearest first, ties
-    to the smaller id; a query's own row is no candidate. Vectors that are null, zero, hold null or
-    non-finite components, or have another length than most take no part, nor do rows without an id. Rows with equal
+    to the smaller id; a query's own row is no candidate. Vectors that are null, zero, or hold null or
+    non-finite components take no part, nor do rows without an id; the candidates are the vectors of the query's length. Rows with equal
     vectors are one candidate with its k + 1 smallest ids, which is all that can be asked of it; rows that share an id and a
     vector count once. With fewer than k candidates all are returned; an empty table gives no rows; other columns do not pass.
     ``share`` 1 searches all leaves and is exact.
     """
     ship(rows.sparkSession)
     own = rows.select(F.col(row_id).cast("bigint").alias("id"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
-    able = own.filter(usable("vector") & F.col("id").isNotNull())
-    able = written(able.filter(F.size("vector") == dimension(able, "vector")), "vectors")
+    able = written(own.filter(usable("vector") & F.col("id").isNotNull()), "vectors")
+    found = [nearest_of_length(able.filter(F.size("vector") == d), k, share) for d in lengths(able, "vector")]
+    if not found:
+        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def nearest_of_length(able: DataFrame, k: int, share: float) -> DataFrame:
+    """As ``nearest``, for vectors of one length: id, vector, asks."""
     # the smallest ids of each distinct vector; Spark keeps only these of each task before the shuffle
     ranked = able.select("id", "vector").distinct().withColumn("n", F.expr("row_number() OVER (PARTITION BY vector ORDER BY id)"))
     smallest = ranked.filter(F.col("n") <= k + 1)
     distinct = written(smallest.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")), "distinct-vectors")
     sampled = chosen(distinct.select("vector", F.col("ids")[0].alias("id")), SAMPLE, "id").select("vector").collect()
-    if not sampled:
-        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     forest = Forest.fit(np.array([r["vector"] for r in sampled], np.float64))
 
     kind = dict(distinct.dtypes)["vector"]

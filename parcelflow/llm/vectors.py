@@ -14,10 +14,9 @@ def usable(vector: str) -> Column:
     return F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def dimension(rows: DataFrame, vector: str) -> int:
-    """The most frequent length of the vectors (the smaller one of a tie); 0 without rows."""
-    sizes = rows.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return sizes["d"] if sizes else 0
+def lengths(rows: DataFrame, vector: str) -> list[int]:
+    """The lengths that the vectors have, one number for each."""
+    return sorted(r["d"] for r in rows.select(F.size(vector).alias("d")).distinct().collect())
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -117,3 +117,14 @@ def test_no_vectors(spark):
     assert cross_polytope.near_duplicates(frame(spark, collection(1)).limit(0)).count() == 0
     only_odd = cross_polytope.near_duplicates(frame(spark, [(1, None, 0), (2, [0.0], 0), (3, [1.0], None)])).collect()
     assert sorted(map(tuple, only_odd)) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
+
+
+def test_vectors_of_each_length_are_compared(spark):
+    """Two of a rarer length link and are neighbours of each other, whatever the length of the others."""
+    rows = [(i, [float(i), 1.0, 2.0, float(i % 7)], 0) for i in range(1, 30)] + [(100, [1.0, 2.0], 0), (101, [1.0, 2.0], 0), (102, [2.0, 4.1], 0), (103, [-1.0], 0)]
+    found = {r["vec_id"]: r for r in cross_polytope.near_duplicates(frame(spark, rows), 0.93).collect()}
+    assert (found[100]["n_links"], found[102]["n_links"], found[102]["component_id"], found[103]["n_links"]) == (2, 2, 100, 0)
+    near = rp_forest.nearest(frame(spark, rows), F.col("vec_id") >= 100, k=5).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in near) == [
+        (100, 1, 101), (100, 2, 102), (101, 1, 100), (101, 2, 102), (102, 1, 100), (102, 2, 101)
+    ]
