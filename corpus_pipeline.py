@@ -13,40 +13,59 @@ from parcelflow.llm.shared import written
 TOXIC = 0.5
 
 
-def with_text(docs: DataFrame, columns: list[str], text: Column) -> DataFrame:
-    """The given columns with another text, and its length where there is a column for it."""
-    changed = {"text": text} | ({"n_chars": F.coalesce(F.length(text).cast("bigint"), F.col("n_chars"))} if "n_chars" in columns else {})
-    return docs.select(*[changed.get(c, F.col(c)).alias(c) for c in columns])
+def with_text(docs: DataFrame, columns: list[str], text: Column, within: str = "") -> DataFrame:
+    """The given columns (or fields of the struct ``within``) with another text, and its length where there is a column for it."""
+    own = {c: F.col(f"{within}.`{c}`" if within else f"`{c}`") for c in columns}
+    changed = {"text": text} | ({"n_chars": F.coalesce(F.length(text).cast("bigint"), own["n_chars"])} if "n_chars" in columns else {})
+    return docs.select(*[changed.get(c, own[c]).alias(c) for c in columns])
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not scored as toxic, by a model of the labels of the training fold."""
+    """Documents not scored as toxic, by a model of the labels of the training fold.
+
+    Null and empty texts get the score of texts without known words; copies share their score; with labels of one
+    class only, or without any, all have the prior; a table without rows stays without rows; other columns pass.
+    """
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.filter(F.col("score") < TOXIC).select("row.*")
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that three or more of them share but for the largest doc_id."""
-    stripped = line_dedup.dedup_lines(docs, keep=docs.columns)
-    rows = stripped.select("kept_columns.*", F.col("kept").alias("__kept"))
-    return with_text(rows, docs.columns, F.col("__kept"))
+    """All documents, without the lines that three or more of them share but for the largest doc_id.
+
+    A null text becomes an empty one; of rows that share the largest doc_id all keep the line; a table without rows
+    stays without rows; other columns pass, whatever their names.
+    """
+    return with_text(line_dedup.dedup_lines(docs, keep=docs.columns), docs.columns, F.col("kept"), "kept_columns")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id; rows that share it stay together."""
+    """Of each group of near-duplicates the document with the smallest doc_id; rows that share it stay together.
+
+    Null and empty texts are alike and form one group; a null doc_id stays only where its whole group has none;
+    a table without rows stays without rows; other columns pass, whatever their names.
+    """
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret in their texts replaced by a mark."""
+    """All documents, each secret in their texts replaced by a mark.
+
+    Texts without secrets pass as they are, null ones among them; overlapping secrets get one mark; a table without
+    rows stays without rows; other columns pass, whatever their names.
+    """
     return with_text(secret_scan.redact(docs), docs.columns, F.col("text"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 1,024 ids."""
+    """The pieces of all documents in sequences of 1,024 ids.
+
+    A null or empty text is its end id alone; repeated rows are packed each; a table without rows gives no pieces; other
+    columns do not pass.
+    """
     return packing.pack(docs, public_tokenizers.path(BYTE_VOCABULARY))
 
 
