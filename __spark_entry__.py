@@ -460,17 +460,20 @@ def _published_twice(spark: SparkSession, sf: str) -> pipeline.Run:
         raw, root = _raw(spark, sf), layers.scratch_folder(spark, "versions")
         early = dict(raw, shipments=raw["shipments"].filter(F.col("updated_at") <= F.lit(CUT).cast("timestamp_ntz")))
         days = {"b1": AS_OF, "b2": AS_OF.replace(year=AS_OF.year + 1), "b3": AS_OF}
-        for batch, sources in (("b1", early), ("b2", raw), ("b3", raw)):
+        for batch, sources in (("b1", early), ("b2", raw)):
             run = pipeline.Run(spark, root, batch, days[batch])
             pipeline.ingest_all(run, sources)
-            gold = pipeline.build_gold(run, pipeline.build_silver(run), fixtures.CITY_NAMES)
-            if batch == "b3":
-                gold["fact_shipment"] = gold["fact_shipment"].withColumn("weight_kg", -F.col("weight_kg"))
-            try:
-                pipeline.check_gold(run, gold)
-                pipeline.publish(run)
-            except gate.GateFailed:  # stored, and nothing is published
-                pass
+            pipeline.check_gold(run, pipeline.build_gold(run, pipeline.build_silver(run), fixtures.CITY_NAMES))
+            pipeline.publish(run)
+        # the third models spoilt shipments beside the published tables
+        run = pipeline.Run(spark, root, "b3", days["b3"])
+        silver = pipeline.read_silver(run)
+        silver["shipments"] = silver["shipments"].withColumn("weight_kg", -F.col("weight_kg"))
+        try:
+            pipeline.check_gold(run, pipeline.build_gold(run, silver, fixtures.CITY_NAMES))
+            pipeline.publish(run)
+        except gate.GateFailed:  # stored, and nothing is published
+            pass
         _versioned[key] = run
     return _versioned[key]
 
