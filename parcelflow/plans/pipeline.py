@@ -42,17 +42,19 @@ class Run:
     database: str | None = None
     # schemas of the tables written for the next version, by layer and name
     pending: dict[tuple[str, str], StructType] = field(default_factory=dict, compare=False, repr=False)
+    # batches that these verdicts hold, by table
+    merged: dict[str, list[str]] = field(default_factory=dict, compare=False, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def next_path(self, layer: str, table: str) -> str:
-        """Where a table of the version lies that this run will publish."""
-        return f"{self.root}/{versions.folder_of(self.next_version(), layer, table)}"
-
     def next_version(self) -> int:
+        """The version that this run will publish."""
         return versions.newest(self.spark, self.root) + 1
 
+    def folder(self, version: int, layer: str, table: str) -> str:
+        return f"{self.root}/{versions.folder_of(version, layer, table)}"
+
     def history(self, name: str) -> str:
         return self.path("history", name)
 
@@ -204,7 +206,9 @@ def build_silver(run: Run) -> dict[str, DataFrame]:
     run.pending.clear()
     published = versions.entries(run.spark, run.root)
     folders = copied_folders(run)
-    paths = {(layer, t): run.next_path(layer, t) for layer in ("verdicts", "judged") for t in CONTRACTS}
+    run.merged.update({t: list(folders[t]) for t in CONTRACTS})
+    version = run.next_version()
+    paths = {(layer, t): run.folder(version, layer, t) for layer in ("verdicts", "judged") for t in CONTRACTS}
     judged: dict[str, DataFrame] = {}
     keys: dict[str, DataFrame] = {}
 
@@ -240,7 +244,8 @@ def build_silver(run: Run) -> dict[str, DataFrame]:
 def build_gold(run: Run, silver: dict[str, DataFrame], city_names: dict[str, str] = CITY_NAMES) -> dict[str, DataFrame]:
     """Write the model's tables for the next version; daily aggregates only of the days that differ from the published one."""
     earlier = versions.tables(run.spark, run.root, "gold")
-    paths = {t: run.next_path("gold", t) for t in (*model.DIMENSIONS, *model.FACTS, *model.AGGREGATES, model.DAY_SUMS)}
+    version = run.next_version()
+    paths = {t: run.folder(version, "gold", t) for t in (*model.DIMENSIONS, *model.FACTS, *model.AGGREGATES, model.DAY_SUMS)}
 
     def write(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         run.pending.update({("gold", t): df.schema for t, df in tables.items()})
@@ -261,8 +266,7 @@ def build_gold(run: Run, silver: dict[str, DataFrame], city_names: dict[str, str
 def publish(run: Run) -> int:
     """Let readers see the tables that this run has written; returns their version."""
     version = run.next_version()
-    batches = {t: list(folders) for t, folders in copied_folders(run).items()}
-    versions.publish(run.spark, run.root, version, run.batch_id, run.pending, batches, ingest.as_utc(run.now()))
+    versions.publish(run.spark, run.root, version, run.batch_id, run.pending, run.merged, ingest.as_utc(run.now()))
     if run.database:
         for (layer, table), entry in versions.entries(run.spark, run.root, version).items():
             if layer == "gold":
