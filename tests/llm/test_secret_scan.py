@@ -101,6 +101,15 @@ def test_redaction_joins_overlapping_spans_and_keeps_columns(docs, labelled):
             assert row["text"] == out + text[at:]
 
 
+def test_texts_with_a_random_string_alone_are_masked(spark, labelled):
+    """No base pattern matches; the span of the Markov models is masked, and nothing else."""
+    frame = spark.createDataFrame([(1, f"before {RANDOM_KEY} after"), (2, "before and after")], "doc_id bigint, text string")
+    scanned = {r["doc_id"]: r for r in secret_scan.scan(frame, labelled).collect()}
+    assert not scanned[1]["base"] and [s["kind"] for s in scanned[1]["spans"]] == ["markov"]
+    found = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame, labelled).collect()}
+    assert found == {1: "before [SECRET] after", 2: "before and after"}
+
+
 def test_samples_come_from_the_documents_and_nothing_from_none(spark, docs):
     labelled = secret_scan.samples(docs, "doc_id", "text")
     assert labelled.filter("secret = 1").count() >= secret_scan.RANDOM_STRINGS

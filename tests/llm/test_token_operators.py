@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -133,6 +134,24 @@ def test_token_files_round_trip(spark, docs, tmp_path, encoding):
     assert "PushedFilters: [In(doc_id, [4])" in plan or "EqualTo(doc_id,4)" in plan
 
 
+@pytest.mark.parametrize("encoding, wanted", [("dictionary", "RLE_DICTIONARY"), ("delta", "DELTA_BINARY_PACKED")])
+def test_token_files_are_laid_out_for_selective_reads(spark, tmp_path, monkeypatch, encoding, wanted):
+    """Encoding of the ids, several row groups, and a page index with more pages than row groups."""
+    monkeypatch.setattr(token_files, "ROW_GROUP_BYTES", 2**16)
+    monkeypatch.setattr(token_files, "PAGE_ROWS", 100)
+    texts = spark.range(4_000).selectExpr("id AS doc_id", "repeat(concat('word', id % 977, ' other', id, ' '), 20) AS text")
+    token_files.write_tokens(texts, WORDS, str(tmp_path / "t"), encoding=encoding)
+    groups = 0
+    for file in (tmp_path / "t").glob("*.parquet"):
+        metadata = pq.ParquetFile(file).metadata
+        groups += metadata.num_row_groups
+        for g in range(metadata.num_row_groups):
+            column = next(c for c in map(metadata.row_group(g).column, range(metadata.num_columns)) if c.path_in_schema.startswith("ids"))
+            assert wanted in column.encodings or ("PLAIN_DICTIONARY" in column.encodings and encoding == "dictionary"), column.encodings
+            assert column.has_offset_index and column.has_column_index
+    assert groups > 1
+
+
 def test_token_files_of_no_documents(spark, docs, tmp_path):
     folder = str(tmp_path / "none")
     token_files.write_tokens(docs.limit(0), WORDS, folder)
