@@ -20,7 +20,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
@@ -35,6 +35,8 @@ NEAREST = 8
 BLOCK = 64
 #: Terms that more than one of so many examples have are held as rows of 32-bit numbers; what their sums may be off.
 DENSE_SHARE, ROUNDING = 16, 1e-5
+#: Rows that Spark hands to a worker at a time, and bytes of texts of a block: beside the model they take little.
+ROWS, BLOCK_BYTES = 2_000, 2_000_000
 WORD = re.compile(r"\w+")
 
 
@@ -51,7 +53,7 @@ class BlockMaxIndex:
     labels: np.ndarray
     term_first: np.ndarray  # entries of a term: from term_first[t] to term_first[t + 1]
     entry_block: np.ndarray
-    entry_max: np.ndarray
+    entry_max: np.ndarray  # 32 bits, as the weights of postings: they only narrow the choice
     entry_first: np.ndarray  # postings of an entry
     example: np.ndarray
     weight: np.ndarray
@@ -90,12 +92,12 @@ class BlockMaxIndex:
         return cls(
             [ids[i] for i in order],
             np.array([labels[i] for i in order], np.float64),
-            term_first,
-            block[first],
-            entry_max,
-            np.append(first, len(term)),
+            term_first.astype(np.int32),
+            block[first].astype(np.int32),
+            np.nextafter(entry_max.astype(np.float32), np.float32(2)),
+            np.append(first, len(term)).astype(np.int32),
             example,
-            weight,
+            weight.astype(np.float32),
             dense_row,
             dense,
             np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
@@ -221,6 +223,13 @@ def fit_curve(shares: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return (float(fitted[0]), float(fitted[1])) if fitted[0] >= 0 else (0.0, float(np.log((n1 + 1) / (n0 + 1))))
 
 
+def hand_over_few(spark: SparkSession) -> None:
+    """Let this session hand ROWS rows to a worker at a time, if it handed over more."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS:
+        spark.conf.set(name, ROWS)
+
+
 def sample(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Term counts of the sampled documents: _id, label, role (0 example, 1 curve), terms, counts.
 
@@ -261,7 +270,7 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int], text: str) -> t
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rows = shared.value, 0
         found = np.zeros(len(known), np.int64)
-        for block in blocks(batches, 0):
+        for block in blocks(batches, 0, BLOCK_BYTES):
             rows += block.num_rows
             for t in texts_as_str(block.column(0)):
                 found[[known[w] for w in set(WORD.findall(t.lower())) if w in known]] += 1
@@ -288,6 +297,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         .filter("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
     )
     kind = docs.schema[doc_id].dataType
+    hand_over_few(docs.sparkSession)
     share = labelled.agg(F.avg("label").alias("prior")).first()["prior"]
     prior = 0.5 if share is None else float(share)
     rows = sample(docs, labelled, doc_id, text).toArrow().sort_by([("_id", "ascending"), ("role", "ascending")])
@@ -337,6 +347,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     first in the index (by heaviest term, then id). Repeated rows give repeated results; an empty table gives none.
     """
     keep = docs.columns if keep is None else keep
+    hand_over_few(docs.sparkSession)
     inner = [f"_{i}" for i in range(len(keep))]
     types = [docs.schema[c].dataType.simpleString() for c in keep]
     schema = ", ".join([f"{n} {t}" for n, t in zip(inner, types)] + ["_score double", f"_evidence array<struct<doc_id:{model.id_type.simpleString()},cosine:double,label:int>>"])
@@ -345,7 +356,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for block in blocks(batches, len(inner)):
+        for block in blocks(batches, len(inner), BLOCK_BYTES):
             scores, evidence = [], []
             for t in texts_as_str(block.column(len(inner))):
                 value, places, cosines = own.judge(term_counts(t), k)
