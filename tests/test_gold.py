@@ -125,3 +125,13 @@ def test_a_first_failure_after_good_days_alerts(spark):
     assert [(a.day, a.failure_rate, a.baseline_rate, a.deviation_pct, a.weekday) for a in alert] == [
         (days[3], 0.5, 0.0, None, 2)
     ]
+
+
+def test_few_and_many_copies_of_an_event_are_numbered_alike(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "CHUNK", 2)
+    t1, t2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    events = spark.createDataFrame(
+        [("S1", t1, "a", 2), ("S1", t2, "b", 5), ("S1", t2, "c", 1), ("S2", t1, "a", 1)], "k string, ts timestamp, label string, n bigint"
+    )
+    found = rows(timeline.timeline(events, "k", "ts", "label", "n").select("k", "label", "event_order"))
+    assert found == sorted([("S1", "a", 1), ("S1", "a", 2), *[("S1", "b", i) for i in range(3, 8)], ("S1", "c", 8), ("S2", "a", 1)])
