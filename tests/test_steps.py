@@ -52,3 +52,9 @@ def test_driver_days_start_from_written_rows(spark, raw, monkeypatch):  # noqa:
     text = days._jdf.queryExecution().executedPlan().toString()
     assert "_lacks" not in text and "_copies" not in text
     assert rows(days.select("driver_id", "day", "success_rate", "mean_rating")) == [("D1", date(2024, 1, 10), 2 / 3, 3.0)]
+
+
+def test_worst_drivers_start_from_written_rows(spark, raw, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(entry, "_raw", lambda *_: tables(raw))
+    worst = entry.queries()["sql_driver_worst"](spark, "")
+    assert {f.rsplit("/", 2)[-2].split("-")[0] for f in worst.inputFiles()} >= {"fact", "closed"}
